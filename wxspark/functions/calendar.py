@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+
 
 def calendar_parts(at: Column) -> dict[str, Column]:
     return {"month": F.month(at), "day": F.day(at), "hour": F.hour(at)}
@@ -28,20 +30,15 @@ def minute_text(at: Column) -> Column:
 
 def weekday_clock(at: Column) -> Column:
     """Such as ``Monday, 05:30 PM``."""
-    hour = F.hour(at)
-    clock = F.format_string(
-        "%02d:%02d %s",
-        F.when(hour % 12 == 0, 12).otherwise(hour % 12),
-        F.minute(at),
-        F.when(hour < 12, "AM").otherwise("PM"),
-    )
-    return F.when(at.isNotNull(), F.concat(F.date_format(at.cast("date"), "EEEE"), F.lit(", "), clock))
+    weekday = F.get(F.array(*map(F.lit, WEEKDAYS)), F.weekday(at))
+    hour = F.lpad(((F.hour(at) + 11) % 12 + 1).cast("string"), 2, "0")
+    minute = F.lpad(F.minute(at).cast("string"), 2, "0")
+    half = F.when(F.hour(at) < 12, " AM").otherwise(" PM")
+    return F.concat(weekday, F.lit(", "), hour, F.lit(":"), minute, half)
 
 
 def season(month: Column, lat: Column) -> Column:
     """Meteorological season; south of the equator it is the one half a year later."""
-    shifted = F.when(lat >= 0, month).when(lat < 0, (month + 5) % 12 + 1)
-    quarter = F.floor((shifted % 12) / 3)
-    return (
-        F.when(quarter == 0, "winter").when(quarter == 1, "spring").when(quarter == 2, "summer").when(quarter == 3, "autumn")
-    )
+    shifted = F.when(lat >= 0, month).when(lat < 0, month + 6) % 12
+    names = F.array(*map(F.lit, ("winter", "spring", "summer", "autumn")))
+    return F.get(names, F.floor(shifted / 3).cast("int"))

@@ -10,7 +10,8 @@ from wxspark.constants import NO_TEMPERATURE, NO_WIND
 
 def number_text(value: Column) -> Column:
     """Shortest form: ``20.5`` stays, ``20.0`` shows as ``20``."""
-    return F.regexp_replace(value.cast("string"), r"\.0$", "")
+    whole = value.cast("long")
+    return F.when(value == whole, whole.cast("string")).otherwise(value.cast("string"))
 
 
 def with_unit(value: Column, unit: str, missing: str | None = None) -> Column:

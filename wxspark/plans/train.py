@@ -40,7 +40,7 @@ from wxspark.session import scratch_base
 REPLICATES = 64
 REPLICATE_SALT = 103
 # Fixed, because a forest's bootstrap is seeded per partition: another count gives other trees.
-FIT_PARTITIONS = 16
+FIT_PARTITIONS = 8
 
 CLASS_PREDICTION = "predicted_extreme"
 

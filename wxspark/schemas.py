@@ -40,3 +40,12 @@ PAYLOAD = T.StructType(
         )
     ]
 )
+
+PAYLOAD_FILE = T.StructType(
+    [
+        T.StructField("city", T.StringType()),
+        T.StructField("issued", T.DateType()),
+        T.StructField("status", T.IntegerType()),
+        T.StructField("body", T.StringType()),
+    ]
+)

@@ -11,11 +11,16 @@ _scratch_bases: dict[str, str] = {}
 
 
 def build_session(app: str = "wxspark", master: str | None = None, hive: bool = False, **conf: str) -> SparkSession:
-    """A session with a UTC zone and snappy parquet; the Hive catalog is opt-in."""
+    """A session with a UTC zone and snappy parquet; the Hive catalog is opt-in.
+
+    The JVM does not compile methods beyond 8,000 bytes of bytecode. A stage whose generated method
+    would be larger, as the display texts make it, runs faster as separately compiled operators.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.parquet.compression.codec", "snappy")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -10,10 +10,14 @@ from wxspark.constants import ATTRIBUTES, CITIES, REGIMES
 
 def city_dim(spark: SparkSession) -> DataFrame:
     """City, coordinates, zone, label, and the shown code and coordinates (cut, not rounded, to one decimal)."""
-    schema = "city string, lat double, lon double, timezone string, label string, iso3 string"
-    return spark.createDataFrame(CITIES, schema).select(
-        "*", _cut("lat").alias("lat_shown"), _cut("lon").alias("lon_shown")
-    )
+    names = ("city", "lat", "lon", "timezone", "label", "iso3")
+    return _literal_rows(spark, CITIES, names).select("*", _cut("lat").alias("lat_shown"), _cut("lon").alias("lon_shown"))
+
+
+def _literal_rows(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
+    """A plan of literals: its size is known to the optimizer, and no Python task produces it."""
+    structs = [F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
 def _cut(name: str) -> Column:
@@ -26,8 +30,8 @@ def regime_dim(spark: SparkSession) -> DataFrame:
         (number, weather, *[float(edge) for bounds in profile for edge in bounds])
         for number, (weather, profile) in enumerate(REGIMES.items())
     ]
-    bounds = ", ".join(f"{a}_lo double, {a}_hi double" for a in ATTRIBUTES)
-    return spark.createDataFrame(rows, f"regime_no int, weather string, {bounds}")
+    names = ("regime_no", "weather", *[f"{a}_{edge}" for a in ATTRIBUTES for edge in ("lo", "hi")])
+    return _literal_rows(spark, rows, names)
 
 
 def regime_profiles() -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxspark.operators.joins import BROADCAST_ROWS, bounded_lookup
-from wxspark.schemas import HOURLY_VALUES, PAYLOAD
+from wxspark.schemas import HOURLY_VALUES, PAYLOAD, PAYLOAD_FILE
 
 # Payload array -> column of the ground truth.
 REAL_COLUMNS = {
@@ -17,6 +17,11 @@ REAL_COLUMNS = {
 }
 
 
+def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines (city, issued, status, body); the body is the document's text."""
+    return spark.read.schema(PAYLOAD_FILE).json(path)
+
+
 def payload_hours(payloads: DataFrame) -> DataFrame:
     """(city, issued, status, body) to one row per array position.
 
@@ -29,9 +34,12 @@ def payload_hours(payloads: DataFrame) -> DataFrame:
     arrays = [F.coalesce(f"hourly.{name}", F.array()) for name in ("time", *HOURLY_VALUES)]
     complete = F.least(*[F.size(a) for a in arrays])
     zipped = F.arrays_zip(*[a.alias(name) for a, name in zip(arrays, ("time", *HOURLY_VALUES))])
+    # The outer form keeps the optimizer from inferring a filter on the array's size, which would
+    # parse every document again, once for each array.
     return (
         parsed.select("city", "issued", F.slice(zipped, 1, complete).alias("hours"))
-        .select("city", "issued", F.posexplode("hours").alias("pos", "h"))
+        .select("city", "issued", F.posexplode_outer("hours").alias("pos", "h"))
+        .where(F.col("pos").isNotNull())
         .select("city", "issued", "pos", "h.*")
     )
 
