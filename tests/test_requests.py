@@ -66,7 +66,9 @@ def test_cities(spark):
     assert "Scan ExistingRDD" not in plan_of(city_dim(spark))
 
 
-def test_read_bodies(spark, tmp_path):
+def test_ids_from_bodies(spark, tmp_path):
     (tmp_path / "r.json").write_text('{"id": 5, "date": "2024-01-01"}\n{"date": "2024-01-01"}\n')
-    rows = requests.read_bodies(spark.read.text(str(tmp_path))).collect()
-    assert rows[0].id == 5 and rows[1].id is not None and rows[1].body == '{"date": "2024-01-01"}'
+    bodies = spark.read.text(str(tmp_path)).withColumnRenamed("value", "body")
+    rows = requests.parse_requests(bodies).collect()
+    assert rows[0].id == 5 and rows[1].id is not None
+    assert [r.date for r in rows] == ["2024-01-01"] * 2

@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
         verification.add_argument("--out", required=True)
         if name == "stream":
             verification.add_argument("--checkpoint", required=True)
+            verification.add_argument("--max-files", type=int, default=10_000, help="per micro-batch")
             verification.add_argument("--once", action="store_true", help="stop after the files present")
 
     timeline = commands.add_parser("timeline", help="seven-day hourly forecast per city")
@@ -65,7 +66,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "stream":
         trigger = {"availableNow": True} if args.once else {}
         jobs.verify_landing_requests(
-            spark, args.requests, args.payloads, args.models, args.out, args.checkpoint, **trigger
+            spark, args.requests, args.payloads, args.models, args.out, args.checkpoint, args.max_files, **trigger
         ).awaitTermination()
     elif args.command == "timeline":
         jobs.forecast(spark, args.models, args.start, args.out)

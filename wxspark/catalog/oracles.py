@@ -439,11 +439,12 @@ UNION ALL SELECT 'All Data', count(*) FROM regimes"""
 
 ORACLES["training_cells"] = f"""
 WITH {OBSERVATIONS},
-{draws("ids", {"replicate": 103}, "rep")}
+blocks AS (SELECT id AS event, id >> greatest(0, 4 * (length(printf('%x', id)) - 4)) AS id FROM ids),
+{draws("blocks", {"replicate": 103}, "rep")}
 SELECT month, day, hour, CAST(bits % 64 AS INTEGER) AS replicate, CAST(is_extreme_weather AS INTEGER) AS extreme,
   count(*) AS weight,
   {", ".join(f"CAST(sum(CAST(round({t} * 100) AS BIGINT)) AS BIGINT) AS {t}_hundredths" for t in TARGETS)}
-FROM features JOIN rep USING (id) GROUP BY ALL"""
+FROM features f JOIN blocks b ON f.id = b.event JOIN rep ON b.id = rep.id GROUP BY ALL"""
 ORACLES["timeline_hours"] = f"""
 WITH {REQUESTS},
 starts AS (SELECT city, max(hour_at) AS start_at FROM timed WHERE error IS NULL GROUP BY city),

@@ -12,7 +12,7 @@ from wxspark.constants import ROWS_PER_REGIME
 from wxspark.operators import sampling
 from wxspark.plans import timeline, train, verify
 from wxspark.session import scratch_path
-from wxspark.sources import generate, payloads, requests, tables
+from wxspark.sources import generate, payloads, tables
 from wxspark.streaming.verify_stream import verify_stream_refreshed
 
 # Ids per task when regimes are generated; a task writes one file per weather type.
@@ -63,32 +63,43 @@ def read_grid(spark: SparkSession, models: str) -> DataFrame:
     return spark.read.parquet(f"{models}/grid")
 
 
-def land_truth(spark: SparkSession, landed_payloads: str) -> DataFrame:
-    """Ground truth of the landed payload documents, written once to the shared folder."""
-    path = scratch_path(spark, "truth")
+def land_truth(spark: SparkSession, landed_payloads: str, path: str) -> DataFrame:
+    """Ground truth of the landed payload documents, stored so that counting and joining it do not rebuild it."""
     documents = payloads.read_payloads(spark, landed_payloads)
-    payloads.ground_truth(payloads.payload_hours(documents)).write.parquet(path)
+    payloads.ground_truth(payloads.payload_hours(documents)).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
 def verify_requests(spark: SparkSession, landed_requests: str, landed_payloads: str, models: str, out: str) -> None:
     """Landed request bodies to a results table (``results``) and response texts (``responses``)."""
-    bodies = requests.read_bodies(spark.read.text(landed_requests))
+    bodies = spark.read.text(landed_requests).withColumnRenamed("value", "body")
     predict = train.model_predictions(read_grid(spark, models))
-    results = verify.verify(bodies, predict, land_truth(spark, landed_payloads))
+    results = verify.verify(bodies, predict, land_truth(spark, landed_payloads, scratch_path(spark, "truth")))
     results.write.parquet(f"{out}/results")
     stored = spark.read.parquet(f"{out}/results")
     verify.result_json(stored).select("response").write.text(f"{out}/responses")
 
 
 def verify_landing_requests(
-    spark: SparkSession, landing: str, landed_payloads: str, models: str, out: str, checkpoint: str, **trigger
+    spark: SparkSession,
+    landing: str,
+    landed_payloads: str,
+    models: str,
+    out: str,
+    checkpoint: str,
+    max_files: int = 10_000,
+    **trigger,
 ) -> StreamingQuery:
-    """The same for files that keep landing in a folder; payloads are read again for each micro-batch."""
-    bodies = requests.read_bodies(spark.readStream.text(landing))
+    """The same for files that keep landing in a folder; payloads are read again for each micro-batch.
+
+    A backlog is taken ``max_files`` at a time.
+    """
+    landed = spark.readStream.option("maxFilesPerTrigger", max_files).text(landing)
+    bodies = landed.withColumnRenamed("value", "body")
     predict = train.model_predictions(read_grid(spark, models))
+    truth_path = scratch_path(spark, "truth")
     return verify_stream_refreshed(
-        bodies, predict, lambda: land_truth(spark, landed_payloads), out, checkpoint, **trigger
+        bodies, predict, lambda: land_truth(spark, landed_payloads, truth_path), out, checkpoint, **trigger
     )
 
 

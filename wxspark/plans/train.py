@@ -39,6 +39,8 @@ from wxspark.session import scratch_base
 
 REPLICATES = 64
 REPLICATE_SALT = 103
+BLOCK_DIGITS = 4
+CELLS = 12 * 31 * 24
 # Fixed, because a forest's bootstrap is seeded per partition: another count gives other trees.
 FIT_PARTITIONS = 8
 
@@ -76,20 +78,31 @@ def training_cells(rows: DataFrame, replicates: int = REPLICATES) -> DataFrame:
     A forest resamples its input rows. To keep that effective, every feature combination is kept as
     up to ``replicates`` separate weighted rows. Least squares and Gini splits need only weights and
     means, so summing up loses nothing else. Targets have two decimals and are summed as whole
-    hundredths: exact, and so independent of the order of addition.
+    hundredths: exact, and so independent of the order of addition. A null target is an error.
+
+    The replicate is hashed from the leading four hex digits of the id, not from the whole id. So
+    neighbouring ids of a large table share one, and a task that reads a run of ids has few groups
+    left after its partial sums; below 65,536 ids every row is hashed on its own.
     """
-    replicate = (draw_bits(F.col("id"), REPLICATE_SALT) % replicates).cast("int")
+    digits = F.length(F.hex("id"))
+    block = F.call_function("shiftright", F.col("id"), F.greatest(F.lit(0), (digits - BLOCK_DIGITS) * 4))
+    replicate = (draw_bits(block, REPLICATE_SALT) % replicates).cast("int")
     keys = [*FEATURES, "replicate", "extreme"]
     return (
         rows.withColumn("replicate", replicate)
         .groupBy(*keys)
         .agg(
             F.count("*").alias("weight"),
-            *[F.sum(F.rint(F.col(t) * 100).cast("long")).alias(f"{t}_hundredths") for t in TARGETS],
+            *[F.sum(_hundredths(t)).alias(f"{t}_hundredths") for t in TARGETS],
         )
     )
 
 
+def _hundredths(target: str) -> Column:
+    missing = F.raise_error(F.lit(f"{target} is null")).cast("long")
+    return F.coalesce(F.rint(F.col(target) * 100).cast("long"), missing)
+
+
 def feature_matrix(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
 
@@ -149,17 +162,22 @@ def fit_forests(cells: DataFrame) -> PipelineModel:
 def prediction_grid(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """The five predictions for every (month, day, hour): 8,928 rows whatever the data."""
     scratch_base(spark)
-    cells = spark.range(12 * 31 * 24).select(
+    cells = spark.range(0, CELLS, 1, 8).select(
+        F.col("id").alias("cell"),
         F.expr("cast(id div 744 + 1 as int)").alias("month"),
         F.expr("cast(id div 24 % 31 + 1 as int)").alias("day"),
         F.expr("cast(id % 24 as int)").alias("hour"),
     )
-    return model.transform(cells).select(*FEATURES, CLASS_PREDICTION, *map(predicted, TARGETS)).checkpoint()
+    return model.transform(cells).select("cell", CLASS_PREDICTION, *map(predicted, TARGETS)).checkpoint()
 
 
 def score(df: DataFrame, grid: DataFrame) -> DataFrame:
-    """Add the predictions for the rows' features; null features give null predictions. No shuffle."""
-    return df.join(F.broadcast(grid), list(FEATURES), "left")
+    """Add the predictions for the rows' features; null features give null predictions. No shuffle.
+
+    The three features are joined as one dense long, which Spark keeps as an array and not a hash map.
+    """
+    cell = (F.col("month") - 1) * 744 + (F.col("day") - 1) * 24 + F.col("hour")
+    return df.withColumn("cell", cell.cast("long")).join(F.broadcast(grid), "cell", "left").drop("cell")
 
 
 def evaluate(scored: DataFrame) -> DataFrame:

@@ -15,12 +15,14 @@ def build_session(app: str = "wxspark", master: str | None = None, hive: bool =
 
     The JVM does not compile methods beyond 8,000 bytes of bytecode. A stage whose generated method
     would be larger, as the display texts make it, runs faster as separately compiled operators.
+    Tasks may keep a file open for each weather type, so the fan-out by type needs no sort.
     """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.parquet.compression.codec", "snappy")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "16")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -9,29 +9,26 @@ from pyspark.sql import functions as F
 
 from wxspark.constants import BAD_CITY, BAD_DATE, DEFAULT_CITY
 from wxspark.functions.calendar import minute_text, to_hour
-from wxspark.schemas import REQUEST
+from wxspark.schemas import IDENTIFIED_REQUEST, REQUEST
 from wxspark.sources.dims import city_dim
 
 
 def parse_requests(bodies: DataFrame, body: str = "body") -> DataFrame:
-    """JSON bodies to (date, city); requests with an empty date are skipped, absent fields are null."""
-    kept = [c for c in bodies.columns if c != body]
+    """JSON bodies to (id, date, city); requests with an empty date are skipped, absent fields are null.
+
+    Bodies that come without an ``id`` column take it from the JSON, or else from a hash of the body.
+    """
     # ``inline`` keeps the filter above the parser. Below a projection the optimizer would copy the
     # parser into the filter and parse every body again.
-    parsed = bodies.select(*kept, F.inline(F.array(F.from_json(body, REQUEST))))
+    if "id" in bodies.columns:
+        kept = [c for c in bodies.columns if c != body]
+        parsed = bodies.select(*kept, F.inline(F.array(F.from_json(body, REQUEST))))
+    else:
+        parsed = bodies.select("*", F.inline(F.array(F.from_json(body, IDENTIFIED_REQUEST))))
+        parsed = parsed.withColumn("id", F.coalesce("id", F.xxhash64(body))).drop(body)
     return parsed.where(F.col("date").isNull() | (F.col("date") != ""))
 
 
-def read_bodies(lines: DataFrame) -> DataFrame:
-    """Text lines (``spark.read.text`` or ``spark.readStream.text``) to (id, body).
-
-    The id is the one in the body or, without one, a hash of the body.
-    """
-    body = F.col("value")
-    own = F.get_json_object(body, "$.id").try_cast("long")
-    return lines.select(F.coalesce(own, F.xxhash64(body)).alias("id"), body.alias("body"))
-
-
 def default_requests(requests: DataFrame, now: datetime) -> DataFrame:
     """Fill absent fields as an untouched form does: the current hour and the first city."""
     this_hour = minute_text(to_hour(F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")))

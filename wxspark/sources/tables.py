@@ -15,16 +15,20 @@ _CSV = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 
 
 def write_observations_csv(df: DataFrame, path: str) -> None:
-    df.write.options(**_CSV).csv(path)
+    df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def read_observations_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(OBSERVATION).options(**_CSV).csv(path)
+    """A value that does not fit its column fails the job; it would be read as null otherwise."""
+    return spark.read.schema(OBSERVATION).options(mode="FAILFAST", **_CSV).csv(path)
 
 
 def write_observations(df: DataFrame, path: str, scale: str) -> None:
-    """Parquet under ``target_scale=<scale>/``, so a reader of one scale opens that folder only."""
-    df.withColumn("target_scale", F.lit(scale)).write.mode("append").partitionBy("target_scale").parquet(path)
+    """Parquet under ``target_scale=<scale>/``, so a reader of one scale opens that folder only.
+
+    Writing that folder itself replaces one scale and needs no sort by a constant partition column.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/target_scale={scale}")
 
 
 def read_observations(spark: SparkSession, path: str, scale: str | None = None) -> DataFrame:
