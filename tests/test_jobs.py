@@ -38,6 +38,8 @@ def test_regime_folders(spark, tmp_path):
     rows = generate.regimes(spark.range(100), 100)
     tables.write_regimes(rows, str(tmp_path / "r"))
     assert same_rows(rows, tables.read_regimes(spark, str(tmp_path / "r")))
+    sheets = tables.sheet_names(tables.read_regimes(spark, str(tmp_path / "r"))).collect()
+    assert {r.sheet for r in sheets} == {"All Data", "Sunny", "Cloudy", "Rain", "Thunderstorm", "Fog"}
     fog = tables.read_regimes(spark, str(tmp_path / "r"), "Fog")
     assert fog.count() == 100
     assert "PartitionFilters: [isnotnull(weather" in fog._jdf.queryExecution().executedPlan().toString()

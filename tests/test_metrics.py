@@ -30,3 +30,19 @@ def test_rows(spark):
     df = spark.createDataFrame([(0.5, 2.0)], "a__accuracy double, b__mae double")
     rows = metrics.as_rows(df, df.columns).collect()
     assert [tuple(r) for r in rows] == [("a", "accuracy", 0.5), ("b", "mae", 2.0)]
+
+
+def test_shown(spark):
+    rows = [
+        ("extreme", "accuracy", 0.89312),
+        ("temp_celsius", "mae", 9.56789),
+        ("humidity_percent", "mae", 15.0),
+        ("wind_speed_kmh", "mae", 7.5),
+    ]
+    shown = metrics.display_metrics(spark.createDataFrame(rows, "model string, metric string, value double"))
+    assert {r.model: (r.headline, r.detail) for r in shown.collect()} == {
+        "extreme": ("89.3%", None),
+        "temp_celsius": ("9.57°C", "9.5679"),
+        "humidity_percent": ("15.00%", None),
+        "wind_speed_kmh": (None, "7.5000"),
+    }

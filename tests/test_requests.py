@@ -31,7 +31,7 @@ def test_parse(spark):
         6: (None, None),
         7: ("garbage", "Tokyo"),
     }
-    assert plan_of(parsed).count("from_json(") == 1
+    assert plan_of(parsed).count("json_tuple(") == 1
 
 
 def test_validate(spark):

@@ -111,5 +111,4 @@ def test_texts(spark):
     got = values(spark, [(7.5,), (None,)], "x double", display.real_wind(F.col("x")))
     assert got == ["7.5 km/h", "--"]
     assert values(spark, [(0.8931,)], "x double", display.percent_text(F.col("x"))) == ["89.3%"]
-    assert values(spark, [(9.5678,)], "x double", display.decimals_text(F.col("x"), 2, "%")) == ["9.57%"]
     assert values(spark, [(9.5678,)], "x double", display.decimals_text(F.col("x"), 4)) == ["9.5678"]

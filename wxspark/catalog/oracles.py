@@ -377,31 +377,27 @@ SELECT weather, count(*) AS n_rows FROM regimes GROUP BY weather
 UNION ALL SELECT 'All Data', count(*) FROM regimes"""
 
 _CLASSIFICATION = """
-classification AS (
-  SELECT count(*) AS n_rows, avg(CAST(quality = toxic AS INTEGER)) AS accuracy,
-    COALESCE(count(*) FILTER (toxic = 1 AND quality = 1) / nullif(count(*) FILTER (toxic = 1), 0), 0) AS precision
-  FROM labels
-)"""
-_REGRESSION = f"""{OBSERVATIONS},
-regression AS (
-  SELECT {", ".join(f"round(avg(abs({t} - (hour * 0.25::DOUBLE + {10 * i}))), 6) AS {t}_mae" for i, t in enumerate(TARGETS, 1))}
-  FROM features
-)"""
-ORACLES["classification_metrics"] = f"""
-WITH {_CLASSIFICATION}
-SELECT n_rows, round(accuracy, 9) AS accuracy, round(precision, 9) AS precision FROM classification"""
-ORACLES["regression_metrics"] = f"WITH {_REGRESSION} SELECT * FROM regression"
-ORACLES["metric_rows"] = f"WITH {_REGRESSION}" + " UNION ALL ".join(
-    f" SELECT '{t}' AS model, 'mae' AS metric, {t}_mae AS value FROM regression" for t in TARGETS
+SELECT 'extreme' AS model, 'accuracy' AS metric, round(avg(CAST(quality = toxic AS INTEGER)), 9) AS value FROM labels
+UNION ALL
+SELECT 'extreme', 'precision',
+  COALESCE(round(count(*) FILTER (toxic = 1 AND quality = 1) / nullif(count(*) FILTER (toxic = 1), 0), 9), 0)
+FROM labels"""
+_REGRESSION = " UNION ALL ".join(
+    f"""
+SELECT '{t}' AS model, 'mae' AS metric, round(avg(abs({t} - (hour * 0.25::DOUBLE + {10 * i}))), 6) AS value FROM features"""
+    for i, t in enumerate(TARGETS, 1)
 )
+ORACLES["classification_metrics"] = _CLASSIFICATION
+ORACLES["regression_metrics"] = f"WITH {OBSERVATIONS} {_REGRESSION}"
 ORACLES["metric_display"] = f"""
-WITH {_REGRESSION},
-{_CLASSIFICATION}
-SELECT printf('%.1f%%', accuracy * 100) AS accuracy_text, printf('%.1f%%', precision * 100) AS precision_text,
-  printf('%.2f°C', temp_celsius_mae) AS temp_text, printf('%.2f%%', humidity_percent_mae) AS humidity_text,
-  printf('%.4f', temp_celsius_mae) AS temp_detail, printf('%.4f', wind_speed_kmh_mae) AS wind_detail,
-  printf('%.4f', precipitation_mm_mae) AS precipitation_detail
-FROM classification, regression"""
+WITH {OBSERVATIONS},
+scores AS ({_CLASSIFICATION} UNION ALL {_REGRESSION})
+SELECT model, metric, value,
+  CASE WHEN metric <> 'mae' THEN printf('%.1f%%', value * 100)
+    WHEN model = 'temp_celsius' THEN printf('%.2f°C', value)
+    WHEN model = 'humidity_percent' THEN printf('%.2f%%', value) END AS headline,
+  CASE WHEN metric = 'mae' AND model <> 'humidity_percent' THEN printf('%.4f', value) END AS detail
+FROM scores"""
 
 # Samples and splits
 
@@ -441,7 +437,7 @@ ORACLES["training_cells"] = f"""
 WITH {OBSERVATIONS},
 blocks AS (SELECT id AS event, id >> greatest(0, 4 * (length(printf('%x', id)) - 4)) AS id FROM ids),
 {draws("blocks", {"replicate": 103}, "rep")}
-SELECT month, day, hour, CAST(bits % 64 AS INTEGER) AS replicate, CAST(is_extreme_weather AS INTEGER) AS extreme,
+SELECT month, day, hour, CAST(bits % 32 AS INTEGER) AS replicate, CAST(is_extreme_weather AS INTEGER) AS extreme,
   count(*) AS weight,
   {", ".join(f"CAST(sum(CAST(round({t} * 100) AS BIGINT)) AS BIGINT) AS {t}_hundredths" for t in TARGETS)}
 FROM features f JOIN blocks b ON f.id = b.event JOIN rep ON b.id = rep.id GROUP BY ALL"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wxspark.catalog import fixtures as fx
 from wxspark.constants import ATTRIBUTES, REGIMES, TARGETS
-from wxspark.functions import calendar, display, rules
+from wxspark.functions import calendar, rules
 from wxspark.operators import metrics, sampling
 from wxspark.operators.units import rename_units
 from wxspark.plans import timeline, train, verify
@@ -264,16 +264,12 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.row_counts(fx.regimes(spark, sf_dir), "weather")
 
 
-def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/labels.parquet")
-
-
 def _classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels table read as labels (quality) and predictions (toxic)."""
     label, prediction = F.col("quality"), F.col("toxic")
-    return _labels(spark, sf_dir).agg(
-        F.count("*").alias("n_rows"),
-        metrics.accuracy(label, prediction).alias("accuracy"),
-        metrics.precision(label, prediction).alias("precision"),
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").agg(
+        F.round(metrics.accuracy(label, prediction), 9).alias("extreme__accuracy"),
+        F.round(metrics.precision(label, prediction), 9).alias("extreme__precision"),
     )
 
 
@@ -282,7 +278,7 @@ def _regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = train.calendar_features(fx.observations(spark, sf_dir))
     return rows.agg(
         *[
-            F.round(metrics.mean_absolute_error(F.col(t), F.col("hour") * 0.25 + 10 * i), 6).alias(f"{t}_mae")
+            F.round(metrics.mean_absolute_error(F.col(t), F.col("hour") * 0.25 + 10 * i), 6).alias(f"{t}__mae")
             for i, t in enumerate(TARGETS, 1)
         ]
     )
@@ -291,38 +287,19 @@ def _regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = _classification(spark, sf_dir)
-    return scores.select("n_rows", F.round("accuracy", 9).alias("accuracy"), F.round("precision", 9).alias("precision"))
+    return metrics.as_rows(scores, scores.columns)
 
 
 @query
 def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _regression(spark, sf_dir)
-
-
-@query
-def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The regression errors as rows (model, metric, value)."""
-    wide = _regression(spark, sf_dir)
-    named = {c: c.replace("_mae", "__mae") for c in wide.columns}
-    return metrics.as_rows(wide.withColumnsRenamed(named), list(named.values()))
+    scores = _regression(spark, sf_dir)
+    return metrics.as_rows(scores, scores.columns)
 
 
 @query
 def metric_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scores as shown: percentages with one decimal, errors with two and with four."""
-    shares = _classification(spark, sf_dir).select(
-        display.percent_text(F.col("accuracy")).alias("accuracy_text"),
-        display.percent_text(F.col("precision")).alias("precision_text"),
-    )
-    errors = _regression(spark, sf_dir).select(
-        display.decimals_text(F.col("temp_celsius_mae"), 2, "°C").alias("temp_text"),
-        display.decimals_text(F.col("humidity_percent_mae"), 2, "%").alias("humidity_text"),
-        display.decimals_text(F.col("temp_celsius_mae"), 4).alias("temp_detail"),
-        display.decimals_text(F.col("wind_speed_kmh_mae"), 4).alias("wind_detail"),
-        display.decimals_text(F.col("precipitation_mm_mae"), 4).alias("precipitation_detail"),
-    )
-    # Two one-row results side by side.
-    return shares.withColumn("row", F.lit(1)).join(errors.withColumn("row", F.lit(1)), "row").drop("row")
+    scores = classification_metrics(spark, sf_dir).unionByName(regression_metrics(spark, sf_dir))
+    return metrics.display_metrics(scores)
 
 
 # Samples and splits

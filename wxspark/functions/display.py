@@ -32,5 +32,5 @@ def percent_text(share: Column) -> Column:
     return F.format_string("%.1f%%", share.cast("double") * 100)
 
 
-def decimals_text(value: Column, places: int, unit: str = "") -> Column:
-    return F.format_string(f"%.{places}f{unit.replace('%', '%%')}", value.cast("double"))
+def decimals_text(value: Column, places: int) -> Column:
+    return F.format_string(f"%.{places}f", value.cast("double"))

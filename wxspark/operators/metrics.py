@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wxspark.functions.display import decimals_text, percent_text
+
 
 def accuracy(label: Column, prediction: Column) -> Column:
     return F.avg((label == prediction).cast("int"))
@@ -33,3 +35,16 @@ def as_rows(scores: DataFrame, columns: list[str]) -> DataFrame:
     long = scores.unpivot([], columns, "name", "value")
     parts = F.split("name", "__")
     return long.select(parts[0].alias("model"), parts[1].alias("metric"), "value")
+
+
+def display_metrics(scores: DataFrame) -> DataFrame:
+    """Rows (model, metric, value) with the ``headline`` and the ``detail`` shown for them, null where none is."""
+    model, value = F.col("model"), F.col("value")
+    error = F.col("metric") == "mae"
+    headline = (
+        F.when(~error, percent_text(value))
+        .when(model == "temp_celsius", F.concat(decimals_text(value, 2), F.lit("°C")))
+        .when(model == "humidity_percent", F.concat(decimals_text(value, 2), F.lit("%")))
+    )
+    detailed = error & model.isin("temp_celsius", "wind_speed_kmh", "precipitation_mm")
+    return scores.withColumns({"headline": headline, "detail": F.when(detailed, decimals_text(value, 4))})

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wxspark.constants import ROWS_PER_REGIME
 from wxspark.operators import sampling
+from wxspark.operators.metrics import display_metrics
 from wxspark.plans import timeline, train, verify
 from wxspark.session import scratch_path
 from wxspark.sources import generate, payloads, tables
@@ -56,7 +57,7 @@ def train_models(
     train.save_model(job.model, f"{out}/model")
     job.grid.coalesce(1).write.mode("overwrite").parquet(f"{out}/grid")
     job.metrics().coalesce(1).write.mode("overwrite").parquet(f"{out}/metrics")
-    return spark.read.parquet(f"{out}/metrics")
+    return display_metrics(spark.read.parquet(f"{out}/metrics"))
 
 
 def read_grid(spark: SparkSession, models: str) -> DataFrame:

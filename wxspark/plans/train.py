@@ -37,7 +37,7 @@ from wxspark.operators.metrics import accuracy, as_rows, mean_absolute_error, pr
 from wxspark.operators.sampling import sample_exact, split_bucket, split_exact
 from wxspark.session import scratch_base
 
-REPLICATES = 64
+REPLICATES = 32
 REPLICATE_SALT = 103
 BLOCK_DIGITS = 4
 CELLS = 12 * 31 * 24

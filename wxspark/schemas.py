@@ -18,10 +18,8 @@ OBSERVATION = T.StructType(
     ]
 )
 
-REQUEST = T.StructType(
-    [T.StructField("date", T.StringType()), T.StructField("city", T.StringType())]
-)
-IDENTIFIED_REQUEST = T.StructType([T.StructField("id", T.LongType()), *REQUEST])
+# Text fields of a request body.
+REQUEST = ("date", "city")
 
 HOURLY_VALUES = (
     "temperature_2m",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wxspark.constants import BAD_CITY, BAD_DATE, DEFAULT_CITY
 from wxspark.functions.calendar import minute_text, to_hour
-from wxspark.schemas import IDENTIFIED_REQUEST, REQUEST
+from wxspark.schemas import REQUEST
 from wxspark.sources.dims import city_dim
 
 
@@ -18,14 +18,14 @@ def parse_requests(bodies: DataFrame, body: str = "body") -> DataFrame:
 
     Bodies that come without an ``id`` column take it from the JSON, or else from a hash of the body.
     """
-    # ``inline`` keeps the filter above the parser. Below a projection the optimizer would copy the
-    # parser into the filter and parse every body again.
     if "id" in bodies.columns:
         kept = [c for c in bodies.columns if c != body]
-        parsed = bodies.select(*kept, F.inline(F.array(F.from_json(body, REQUEST))))
+        parsed = bodies.select(*kept, F.json_tuple(body, *REQUEST).alias(*REQUEST))
     else:
-        parsed = bodies.select("*", F.inline(F.array(F.from_json(body, IDENTIFIED_REQUEST))))
-        parsed = parsed.withColumn("id", F.coalesce("id", F.xxhash64(body))).drop(body)
+        parsed = bodies.select("*", F.json_tuple(body, "id", *REQUEST).alias("id", *REQUEST))
+        own = F.col("id").try_cast("long")
+        parsed = parsed.withColumn("id", F.coalesce(own, F.xxhash64(body))).drop(body)
+    # The filter stays above the generator, so every body is parsed once.
     return parsed.where(F.col("date").isNull() | (F.col("date") != ""))
 
 

@@ -52,6 +52,11 @@ def read_regimes(spark: SparkSession, path: str, weather: str | None = None) ->
     return df if weather is None else df.where(F.col("weather") == weather)
 
 
+def sheet_names(df: DataFrame) -> DataFrame:
+    """The names a reader can open: the table of all types and each type's folder."""
+    return df.sparkSession.sql("SELECT 'All Data' AS sheet").union(df.select("weather").distinct())
+
+
 def union_regimes(parts: list[DataFrame]) -> DataFrame:
     """All types in one table, matched by column name; ``row_no`` already numbers the whole."""
     return reduce(DataFrame.unionByName, parts)
