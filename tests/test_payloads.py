@@ -6,6 +6,7 @@ from datetime import date, datetime
 from conftest import plan_of, same_rows
 from pyspark.sql import functions as F
 
+from wxspark.operators import joins
 from wxspark.operators.joins import bounded_lookup
 from wxspark.sources import payloads
 
@@ -88,30 +89,52 @@ def test_truth_is_a_hash_aggregate(spark):
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
 
 
-def test_lookup_plans_agree_on_a_hot_key(spark):
+def skewed(spark):
     """A third of the rows on one key, and rows without a key."""
-    left = spark.range(0, 3_000, 1, 5).select(
-        "id",
-        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
-    )
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("k"), F.col("id") % 500))
+    left = spark.range(0, 3_000, 1, 5).select("id", key.alias("k"))
     right = spark.range(400).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("v"))
-    right = right.union(spark.sql("SELECT 'hot', 777L"))
+    return left, right.union(spark.sql("SELECT 'hot', 777L"))
+
+
+def test_lookup_plans_agree(spark):
+    left, right = skewed(spark)
     broadcast = bounded_lookup(left, right, ["k"], "id")
-    salted = bounded_lookup(left, right, ["k"], "id", broadcast_rows=400)
-    assert "BroadcastHashJoin" in plan_of(broadcast)
-    assert "SortMergeJoin" in plan_of(salted) and "Broadcast" not in plan_of(salted)
-    assert same_rows(broadcast, salted)
+    apart = bounded_lookup(left, right, ["k"], "id", broadcast_rows=400)
+    assert "BroadcastHashJoin" in plan_of(broadcast) and "SortMergeJoin" not in plan_of(broadcast)
+    assert "SortMergeJoin" in plan_of(apart)
+    assert same_rows(broadcast, apart) and same_rows(broadcast, joins._salted(left, right, ["k"], "id"))
     rows = {r.id: r.v for r in broadcast.collect()}
     assert len(rows) == 3_000 and rows[0] == 777 and rows[7] is None and rows[1] == 1 and rows[499] is None
 
 
-def test_salt_spreads_the_hot_key(spark):
-    left = spark.range(0, 30_000, 1, 4).select("id", F.lit("hot").alias("k"))
-    right = spark.sql("SELECT 'hot' AS k, 1L AS v")
+def test_hot_and_null_keys_are_not_shuffled(spark):
+    """Without cold keys nothing is left for the sort-merge join."""
+    left, right = skewed(spark)
+    joined = bounded_lookup(left.where("k IS NULL OR k = 'hot'"), right, ["k"], "id", broadcast_rows=400)
+    assert joined.count() == left.where("k IS NULL OR k = 'hot'").count()
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnull(_hot" in plan
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = bounded_lookup(left, right, ["k"], "id", broadcast_rows=0)
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        by_task = joined.groupBy(F.spark_partition_id(), "k").count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 30_000 and len(sizes) >= 6
+    assert len([r for r in by_task if r.k == "hot"]) == 5 and len([r for r in by_task if r.k is None]) == 5
+
+
+def test_no_hot_keys(spark):
+    left = spark.range(0, 1_000, 1, 3).withColumn("k", F.col("id") % 250)
+    right = spark.range(200).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    assert same_rows(bounded_lookup(left, right, ["k"], "id"), bounded_lookup(left, right, ["k"], "id", broadcast_rows=100))
+
+
+def test_stream_beyond_the_bound(spark, tmp_path):
+    left, right = skewed(spark)
+    left.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(left.schema).parquet(str(tmp_path / "in"))
+    joined = bounded_lookup(stream, right, ["k"], "id", broadcast_rows=400)
+    out = str(tmp_path / "out")
+    writer = joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "cp"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    assert same_rows(bounded_lookup(left, right, ["k"], "id"), spark.read.parquet(out))

@@ -56,3 +56,12 @@ def test_split_bucket_is_narrow_and_layout_free(spark):
 def test_head(spark):
     df = spark.range(0, 100, 1, 9).repartition(9)
     assert [r.id for r in sampling.head(df).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_repeated_key_is_kept_whole(spark):
+    df = spark.range(900).withColumn("id", F.when(F.col("id") < 300, -1).otherwise(F.col("id")))
+    sample = sampling.sample_exact(df, 450)
+    distinct = sample.distinct().count()
+    counts = {r.id: r["count"] for r in sample.groupBy("id").count().collect()}
+    assert counts.get(-1, 300) == 300
+    assert 450 <= sum(counts.values()) < 450 + 300 and distinct == len(counts)

@@ -318,7 +318,7 @@ ORACLES["ground_truth_lookup"] = f"""
 WITH {REQUESTS},
 {TRUTH}
 SELECT id, city, hour_key, real_found, {", ".join(f"real_{t}" for t in TARGETS)} FROM looked_up WHERE error IS NULL"""
-ORACLES["ground_truth_lookup_salted"] = ORACLES["ground_truth_lookup"]
+ORACLES["ground_truth_lookup_shuffled"] = ORACLES["ground_truth_lookup"]
 
 # Verdicts
 

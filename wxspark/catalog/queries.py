@@ -183,9 +183,9 @@ def ground_truth_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def ground_truth_lookup_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same lookup, forced onto the shuffled and salted plan used beyond the broadcast bound."""
-    found = payloads.lookup_truth(_valid(spark, sf_dir), _truth(spark, sf_dir), "id", broadcast_rows=0)
+def ground_truth_lookup_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lookup by the plan used beyond the broadcast bound, which is set low for it."""
+    found = payloads.lookup_truth(_valid(spark, sf_dir), _truth(spark, sf_dir), "id", broadcast_rows=100)
     return found.select("id", "city", "hour_key", "real_found", *[f"real_{t}" for t in TARGETS])
 
 

@@ -45,7 +45,8 @@ def _cut(df: DataFrame, key: str, salt: int, wanted) -> Column:
 
     ``orderBy(draw).limit(k)`` would move k rows of every task into one. Here two histograms of 4096
     counters narrow the place of the cut to a 2**-24 share of the keys, and only those are ranked.
-    The keys have to be unique. All three passes read the key column only.
+    All three passes read the key column only. Keys are ids, that is unique; should one repeat, it
+    is counted as often, and all rows of the key at the cut are taken.
     """
     drawn = df.select(F.col(key).cast("long").alias("key"), draw_bits(F.col(key), salt).alias("bits"))
     drawn = drawn.select("key", "bits", F.shiftright("bits", _FIRST).alias("b1"), F.shiftright("bits", _SECOND).alias("b2"))
@@ -53,9 +54,10 @@ def _cut(df: DataFrame, key: str, salt: int, wanted) -> Column:
     first = _bucket_of(drawn, "b1", wanted)
     inside = drawn.where(F.col("b1") == first["bucket"])
     second = _bucket_of(inside, "b2", lambda total: first["left"])
-    boundary = drawn.where(F.col("b2") == second["bucket"])
-    ranked = boundary.withColumn("rank", F.row_number().over(Window.orderBy("bits", "key")))
-    return ranked.where(F.col("rank") == second["left"]).select(F.struct("bits", "key")).scalar()
+    boundary = drawn.where(F.col("b2") == second["bucket"]).groupBy("bits", "key").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.orderBy("bits", "key"))
+    reached = boundary.withColumn("upto", upto).where(F.col("upto") >= second["left"])
+    return reached.agg(F.min(F.struct("bits", "key"))).scalar()
 
 
 def _bucket_of(drawn: DataFrame, bucket: str, wanted) -> Column:
