@@ -34,7 +34,7 @@ def rows(table) -> Counter:
 
 
 def differences(spark_df, sql: str, con) -> str | None:
-    got, want = spark_df.toArrow(), con.execute(sql).to_arrow_table()
+    got, want = spark_df.toArrow(), con.sql(sql).to_arrow_table()
     if kinds(got) != kinds(want):
         return f"columns {kinds(got)} against {kinds(want)}"
     if got.num_rows == 0:

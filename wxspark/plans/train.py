@@ -206,7 +206,8 @@ def train(
     """
     rows = training_rows(observations)
     if cap is not None:
-        rows = sample_exact(rows, cap)
+        scratch_base(observations.sparkSession)
+        rows = sample_exact(rows, cap).checkpoint()  # every later pass would search for its cut again
     flagged = split_exact(rows, fraction=fraction) if exact_split else split_bucket(rows, fraction=fraction)
     model = fit_forests(training_cells(flagged.where(~F.col("is_test"))))
     return Trained(model, prediction_grid(observations.sparkSession, model), flagged.where("is_test").drop("is_test"))
