@@ -70,6 +70,14 @@ def test_stream_resumes_where_it_stopped(spark, sf_dir, predict, truth, tmp_path
     assert same_rows(verify.verify(bodies, predict, truth), spark.read.parquet(out))
 
 
+def test_stream_over_a_folder_of_events(spark, sf_dir, tmp_path):
+    fx.events(spark, sf_dir).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    out = str(tmp_path / "out")
+    writer = fx.body_stream(spark, str(tmp_path)).writeStream.format("parquet").option("path", out)
+    writer.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert same_rows(fx.bodies(spark, sf_dir), spark.read.parquet(out))
+
+
 def test_refreshed_truth_is_seen_by_the_next_batch(spark, predict, tmp_path):
     landing, out, progress = (str(tmp_path / n) for n in ("landing", "out", "progress"))
     schema = "city string, hour_at timestamp_ntz, real_temp_celsius double, real_humidity_percent double, real_wind_speed_kmh double, real_precipitation_mm double, real_found boolean"

@@ -71,9 +71,12 @@ def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def body_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bodies as a stream over the events file."""
-    source = spark.readStream.schema(events(spark, sf_dir).schema).option("pathGlobFilter", "events.parquet")
-    return bodies_of(source.parquet(sf_dir))
+    """The bodies as a stream over the events table, whether that is one file or a folder of files.
+
+    A stream takes a folder or a pattern, so the name is given as a pattern that only it matches.
+    """
+    source = spark.readStream.schema(events(spark, sf_dir).schema)
+    return bodies_of(source.parquet(f"{sf_dir}/events.parque[t]"))
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
