@@ -60,6 +60,13 @@ def test_missing_input_fails(spark, tmp_path):
             read(spark, str(tmp_path / "none"))
 
 
+def test_malformed_csv_fails(spark, tmp_path):
+    tables.write_observations_csv(observed(spark, 10), str(tmp_path / "o.csv"))
+    (tmp_path / "o.csv" / "part-bad.csv").write_text("id,weather_station_id,timestamp\n1,x,y\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        tables.read_observations_csv(spark, str(tmp_path / "o.csv")).collect()
+
+
 def test_scratch_is_the_checkpoint_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:

@@ -94,6 +94,13 @@ def test_cells_against_brute_force(spark):
     assert max(c.replicate for c in cells) == 3
 
 
+def test_a_null_target_fails(spark):
+    rows = train.training_rows(observed(spark, 100))
+    broken = rows.withColumn("wind_speed_kmh", F.when(F.col("id") != 7, F.col("wind_speed_kmh")))
+    with pytest.raises(Exception, match="wind_speed_kmh is null"):
+        train.training_cells(broken).collect()
+
+
 def test_cells_do_not_grow_with_a_hot_hour(spark):
     """A third of the rows in one hour still makes at most two cells per replicate."""
     rows = train.training_rows(observed(spark, 30_000))
