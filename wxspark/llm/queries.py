@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wxspark.llm import byte_bpe, language, licences, quality, token_records, toxicity
+from wxspark.llm import byte_bpe, decontaminate, language, licences, line_rules, quality, token_records, toxicity
 from wxspark.llm.common import table
+from wxspark.llm.oracles import ORACLES as ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,14 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_table(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.rule_table(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.digest_table(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -46,9 +55,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_records": op1_token_records,
     "op3_quality": op3_quality,
+    "op4_decontamination": op4_decontamination,
+    "op5_line_rules": op5_line_rules,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_licences": op8_licences,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES: dict[str, str] = {}
