@@ -22,6 +22,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an id or two that may be broadcast: some tens of megabytes.
+FEW = 1_000_000
+
+
+def few(df: DataFrame, label: str) -> DataFrame:
+    """The rows stored, and marked for broadcast if they are counted to be at most FEW; else joins shuffle."""
+    df = stored(df, label)
+    return F.broadcast(df) if df.count() <= FEW else df
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Lower the session's Arrow batch length to BATCH_ROWS, if it is longer or unlimited."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

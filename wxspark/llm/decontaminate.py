@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wxspark.llm.common import ascii_lower, stored
+from wxspark.llm.common import ascii_lower, few, stored
 
 WINDOW = 10
 SHINGLE = 3
@@ -188,5 +188,6 @@ def _table(docs: DataFrame, items: DataFrame) -> DataFrame:
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without those that contain a window of an item, all columns kept."""
     bad = _table(docs, items).where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("key").alias("bad_key"))
+    bad = few(bad.distinct(), "contaminated")
     key = F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))
-    return docs.join(bad.distinct(), docs["doc_id"].eqNullSafe(bad["bad_id"]) & (key == bad["bad_key"]), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (key == bad["bad_key"]), "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wxspark.llm import byte_bpe, decontaminate, language, licences, line_rules, quality, token_records, toxicity
+from wxspark.llm import byte_bpe, decontaminate, language, licences, line_rules, near_duplicates, quality, token_records, toxicity
 from wxspark.llm.common import table
 from wxspark.llm.oracles import ORACLES as ORACLES
 
@@ -38,6 +38,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest_table(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.grouped(table(spark, sf_dir, "documents"))
+
+
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_table(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontamination": op4_decontamination,
     "op5_line_rules": op5_line_rules,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_licences": op8_licences,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
