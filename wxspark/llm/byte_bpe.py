@@ -166,10 +166,7 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, pattern, table)
         for batch in batches:
-            ids = [np.array(i, dtype=np.int32) for i in coder.encode(batch.column(1).to_pylist())]
-            offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-            flat = np.concatenate([*ids, np.zeros(0, dtype=np.int32)])
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+            lists = _lists(coder.encode(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
@@ -191,20 +188,34 @@ def decoded(rows: DataFrame, path: str, pattern: str) -> DataFrame:
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(work, "doc_id long, text string")
 
 
-def digest_table(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The columns of RESULT: each whole text encoded, its ids digested, the ids decoded and digested."""
+def digest_table(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """The columns of RESULT: each whole text encoded, its ids digested, the ids decoded and digested.
+
+    With ``with_ids`` the ids follow as an array.
+    """
     bounded_batches(docs.sparkSession)
     table = PerfectHash.build(read_ranks(path))
+    schema = RESULT + ", ids array<int>" if with_ids else RESULT
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, pattern, table)
-        names = [c.split()[0] for c in RESULT.split(", ")]
         for batch in batches:
-            rows = []
-            for ids in coder.encode(batch.column(1).to_pylist()):
-                rows.append((len(ids), coder.digest_of(ids), hashlib.sha256(coder.decode(ids)).hexdigest()))
-            counts, digests, back = zip(*rows, strict=True) if rows else ((), (), ())
-            arrays = [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(back, pa.string())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names)
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, RESULT)
+            encoded_texts = coder.encode(batch.column(1).to_pylist())
+            arrays = [
+                batch.column(0),
+                pa.array(list(map(len, encoded_texts)), pa.int64()),
+                pa.array(list(map(coder.digest_of, encoded_texts)), pa.string()),
+                pa.array([hashlib.sha256(coder.decode(ids)).hexdigest() for ids in encoded_texts], pa.string()),
+            ]
+            if with_ids:
+                arrays.append(_lists(encoded_texts))
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, schema)
+
+
+def _lists(rows: list[list[int]]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    flat = np.fromiter((i for ids in rows for i in ids), dtype=np.int32, count=int(offsets[-1]))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))

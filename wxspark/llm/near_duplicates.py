@@ -9,9 +9,9 @@ chance, and what passes is confirmed on the full sets.
 
 Large groups need neither all pairs nor a cap: copies with equal sets are one node; in a band of up to SMALL nodes
 all pairs are candidates, in a larger one the pairs of its leader, the node with most company over all bands.
-When the links so found have been joined to components, every pair of a large band whose ends are still in
-different components becomes a candidate as well. So each pair that shares a band has been compared, or is
-connected anyway. At a similarity of exactly 0.85 a pair shares no band with a chance of 1e-6; above, less.
+When the links so found have been joined to components, the members of a large band that are outside its main
+component are estimated against all of its members in other components, chunk against chunk, and only pairs that
+the registers let through leave a chunk. So each pair that shares a band has been compared, or is connected anyway. At a similarity of exactly 0.85 a pair shares no band with a chance of 1e-6; above, less.
 
 Null, empty and blank texts have no shingles, are linked with nothing and stay. A text of fewer than SHINGLE
 words is one shingle. Null ids keep their group's id, are never its smallest, and are not kept if linked; with
@@ -39,6 +39,8 @@ REGISTERS, MANTISSA = 256, 10
 ROWS = 7
 BANDS = REGISTERS // ROWS
 SMALL = 8
+#: Nodes of a large band that are compared at once with as many others.
+CHUNK = 128
 #: An estimate this far below the threshold is let through: four standard errors of REGISTERS draws.
 SLACK = 0.09
 #: Words whose hashes a Python worker remembers.
@@ -165,18 +167,62 @@ def _bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "n", "registers").mapInArrow(work, "band long, node binary, n long")
 
 
-def _pairs(left: DataFrame, right: DataFrame, on: str, different: bool = False):
-    """Node pairs (a < b) of two tables with node, n, sizes near enough for the threshold."""
-    r = right.select(on, F.col("node").alias("other"), F.col("n").alias("m"), *(["comp"] if different else []))
-    if different:
-        r = r.withColumnRenamed("comp", "other_comp")
-    joined = left.join(r, on).where(F.col("node") != F.col("other"))
-    if different:
-        joined = joined.where(F.col("comp") != F.col("other_comp"))
+def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Node pairs (a < b) that share a band of two tables, of sizes near enough for the threshold."""
+    other = right.select("band", F.col("node").alias("other"), F.col("n").alias("m"))
+    joined = left.join(other, "band").where(F.col("node") != F.col("other"))
     near = 100 * F.least("n", "m") >= THRESHOLD * F.greatest("n", "m")
     return joined.where(near).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
 
+def _chunks(members: DataFrame) -> DataFrame:
+    """band, rows: the members of a band in chunks of about CHUNK."""
+    chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / CHUNK)).alias("chunk")
+    return (
+        members.select("band", chunk, F.struct("node", "comp", "n", "registers").alias("row"))
+        .groupBy("band", "chunk")
+        .agg(F.collect_list("row").alias("rows"))
+    )
+
+
+def _apart_pairs(open_bands: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs that share a large band, are in different components of it, and pass the estimate.
+
+    A pair is given out in the first band that it shares only; if that is a small one, it is known already.
+    """
+    whole = open_bands.join(nodes.select("node", "registers"), "node")
+    apart = _chunks(whole.where(F.col("comp") != F.col("main")))
+    both = _chunks(whole).withColumnRenamed("rows", "others").drop("chunk").join(apart.drop("chunk"), "band")
+
+    def fields(cell) -> tuple:
+        cell = cell.values
+        node, comp = (np.array(cell.field(k).to_pylist(), dtype="S16").view("V16").ravel() for k in (0, 1))
+        regs = np.frombuffer(b"".join(cell.field(3).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+        return node, comp, cell.field(2).to_numpy(), regs, np.array([band_keys(r) for r in regs])
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            for band, many, some in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                node, comp, n, regs, keys = fields(some)
+                node2, comp2, n2, regs2, keys2 = fields(many)
+                for i in range(len(node)):
+                    good = estimate(regs2, regs[i]) >= THRESHOLD / 100 - SLACK
+                    good &= (comp2 != comp[i]) & (100 * np.minimum(n2, n[i]) >= THRESHOLD * np.maximum(n2, n[i]))
+                    for j in np.flatnonzero(good):
+                        if keys[i][np.argmax(keys[i] == keys2[j])] == band:
+                            left.append(node[i].tobytes())
+                            right.append(node2[j].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["x", "y"])
+
+    return (
+        both.select("band", "others", "rows")
+        .mapInArrow(compared, "x binary, y binary")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .distinct()
+    )
+
+
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs that the registers let through and the full sets confirm."""
 
@@ -211,9 +257,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
             rows = rows.join(own, end)
         return rows.select("a", "b", f"{value}_a", f"{value}_b")
 
-    passed = stored(
-        beside(pairs, nodes, "registers").mapInArrow(likely, "a binary, b binary"), "likely-pairs"
-    )
+    passed = stored(beside(pairs, nodes, "registers").mapInArrow(likely, "a binary, b binary"), "likely-pairs")
     ends = passed.select(F.col("a").alias("node")).union(passed.select("b")).distinct()
     wanted = few(ends.join(nodes, "node").select(F.col("first_id").alias("doc_id")).distinct(), "pair-documents")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
@@ -266,18 +310,18 @@ def grouped(docs: DataFrame) -> DataFrame:
         .agg(F.max(F.struct("company", "node", "n")).alias("l"))
         .select("band", F.col("l.node").alias("node"), F.col("l.n").alias("n"))
     )
-    first = stored(_pairs(small, small, "band").union(_pairs(leaders, large, "band")).distinct(), "pairs")
+    first = stored(_pairs(small, small).union(_pairs(leaders, large)).distinct(), "pairs")
     links = _links(first, nodes, docs)
     labels = components(links)
 
-    # Large bands that still hold several components: each member outside the largest with all of other ones.
-    placed = large.join(labels, "node", "left").select("band", "node", "n", F.coalesce("comp", "node").alias("comp"))
+    # Large bands that still hold several components.
+    placed = large.join(labels, "node", "left").select(
+        "band", "node", "n", "size", F.coalesce("comp", "node").alias("comp")
+    )
     parts = placed.groupBy("band", "comp").agg(F.count("*").alias("members"))
     largest = parts.groupBy("band").agg(F.max(F.struct("members", "comp"))["comp"].alias("main"), F.count("*").alias("parts"))
     open_bands = stored(placed.join(largest.where(F.col("parts") > 1), "band"), "open-bands")
-    apart = open_bands.where(F.col("comp") != F.col("main"))
-    second = _pairs(apart, open_bands, "band", different=True).distinct().join(first, ["a", "b"], "left_anti")
-    second = stored(second, "pairs")
+    second = stored(_apart_pairs(open_bands, nodes).join(first, ["a", "b"], "left_anti"), "pairs")
     if not second.isEmpty():
         more = _links(second, nodes, docs)
         if not more.isEmpty():
