@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wxspark.llm import byte_bpe, decontaminate, language, licences, line_rules, near_duplicates, quality, token_records, toxicity
+from wxspark.llm import (
+    byte_bpe,
+    chat,
+    decontaminate,
+    language,
+    licences,
+    line_rules,
+    near_duplicates,
+    quality,
+    token_records,
+    toxicity,
+)
 from wxspark.llm.common import table
 from wxspark.llm.oracles import ORACLES as ORACLES
 
@@ -20,6 +31,11 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.record_table(spark, files)
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = table(spark, sf_dir, "conversations")
+    return chat.turns(messages, chat.learn(messages))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.quality_table(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
@@ -58,6 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_records": op1_token_records,
+    "op2_chat": op2_chat,
     "op3_quality": op3_quality,
     "op4_decontamination": op4_decontamination,
     "op5_line_rules": op5_line_rules,

@@ -46,7 +46,7 @@ LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f
 #: Words handed over as one text.
 TOGETHER = 500
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("offset", "<u8"), ("n_tokens", "<u4")])
-MANIFEST = "first_id long, first_tie long, part int, data_file string, index_file string, n_records long, n_tokens long"
+MANIFEST = "first_id long, first_tie long, first_copy long, data_file string, index_file string, n_records long, n_tokens long"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -148,10 +148,10 @@ def write_records(docs: DataFrame, path: str, end_id: int = END_ID, folder: str
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, rows, first = None, [], None
         for batch in batches:
-            ids, ties, texts = (c.to_pylist() for c in batch.columns)
-            for doc_id, tie, tokens in zip(ids, ties, encode(texts, path), strict=True):
+            ids, ties, copies, texts = (c.to_pylist() for c in batch.columns)
+            for doc_id, tie, copy, tokens in zip(ids, ties, copies, encode(texts, path), strict=True):
                 if writer is None:
-                    writer, first = _Writer(folder, width), (doc_id, tie, len(rows))
+                    writer, first = _Writer(folder, width), (doc_id, tie, copy)
                 tokens.append(end_id)
                 writer.add(doc_id, np.array(tokens, dtype=np.uint32))
                 if writer.size >= FILE_BYTES:
@@ -160,19 +160,19 @@ def write_records(docs: DataFrame, path: str, end_id: int = END_ID, folder: str
         if writer is not None:
             rows.append((*first, *writer.close()))
         if rows:
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
             names = [c.split()[0] for c in MANIFEST.split(", ")]
             columns = zip(zip(*rows, strict=True), kinds, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], names)
 
-    tie = F.xxhash64("text").alias("tie")
+    tie, copy = F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("copy")
     ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), tie, "text")
-        .repartitionByRange("doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), tie, copy, "text")
+        .repartitionByRange("doc_id", "tie", "copy")  # equal rows may be parted too
+        .sortWithinPartitions("doc_id", "tie", "copy")
     )
     files = ordered.mapInArrow(written, MANIFEST).collect()  # a row per file
-    files.sort(key=lambda f: (f.first_id is not None, f.first_id or 0, f.first_tie, f.part))
+    files.sort(key=lambda f: (f.first_id is not None, f.first_id or 0, f.first_tie, f.first_copy))
     out, start = [], 0
     for f in files:
         out.append((start, f.data_file, f.index_file, f.n_records))
