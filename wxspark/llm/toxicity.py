@@ -37,8 +37,8 @@ CATEGORIES = (*FAMILIES, "coded", "toxic")
 TEXTS, PIECE, BUCKETS, FOLDS = 2_000, 12_000, 1 << 20, 4
 #: Lengths of the word beginnings that are features beside the words.
 BEGINNINGS = (4, 5, 6)
-#: Per category, the features that differ between members and others by this many standard errors are kept,
-#: at most so many of them.
+#: Per category, the features that members have more often by this many standard errors are kept, at most so many
+#: of them.
 SCREEN, KEPT = 6.0, 200
 THRESHOLD = 0.5
 WORD = re.compile(r"[^\W\d_]{2,}")
@@ -62,13 +62,14 @@ def words_of(text: str | None) -> set[str]:
 
 
 def _screened(rows: np.ndarray, columns: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Buckets whose share of texts differs between members and others beyond chance."""
+    """Buckets that members have more often than others, beyond chance. That a text lacks what harmless ones have
+    is no evidence."""
     n1, n0 = max(y.sum(), 1.0), max((1 - y).sum(), 1.0)
     inside = np.bincount(columns, weights=y[rows], minlength=BUCKETS)
     everywhere = np.bincount(columns, minlength=BUCKETS)
     p = everywhere / len(y)
     error = np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0))
-    z = np.abs(inside / n1 - (everywhere - inside) / n0) / error
+    z = (inside / n1 - (everywhere - inside) / n0) / error
     z[everywhere < 3] = 0.0
     best = np.argsort(-z, kind="stable")[:KEPT]
     return np.sort(best[z[best] >= SCREEN])
