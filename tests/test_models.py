@@ -94,6 +94,16 @@ def test_cells_against_brute_force(spark):
     assert max(c.replicate for c in cells) == 3
 
 
+@pytest.mark.parametrize("rows", [60_000, 500_000, 2_000_000])
+def test_replicates_follow_the_rows_of_a_cell(spark, rows):
+    """w rows of a cell fall on 32 * (1 - (31 / 32) ** w) replicates on average, whatever the size of the ids."""
+    cells = train.training_cells(train.training_rows(observed(spark, rows)))
+    keys = [*train.FEATURES]
+    per = cells.groupBy(*keys).agg(F.sum("weight").alias("w"), F.count_distinct("replicate").alias("n"))
+    r = per.agg(F.avg("n").alias("n"), F.avg(32 * (1 - F.pow(F.lit(31 / 32), "w"))).alias("expected")).first()
+    assert abs(r.n / r.expected - 1) < 0.02
+
+
 def test_a_null_target_fails(spark):
     rows = train.training_rows(observed(spark, 100))
     broken = rows.withColumn("wind_speed_kmh", F.when(F.col("id") != 7, F.col("wind_speed_kmh")))

@@ -58,10 +58,33 @@ def test_head(spark):
     assert [r.id for r in sampling.head(df).collect()] == [0, 1, 2, 3, 4]
 
 
-def test_repeated_key_is_kept_whole(spark):
-    df = spark.range(900).withColumn("id", F.when(F.col("id") < 300, -1).otherwise(F.col("id")))
-    sample = sampling.sample_exact(df, 450)
-    distinct = sample.distinct().count()
-    counts = {r.id: r["count"] for r in sample.groupBy("id").count().collect()}
-    assert counts.get(-1, 300) == 300
-    assert 450 <= sum(counts.values()) < 450 + 300 and distinct == len(counts)
+@pytest.mark.parametrize("size", [0, 1, 99, 100, 101])
+def test_sample_edges(spark, size):
+    df = spark.range(100)
+    assert sampling.sample_exact(df, size).count() == min(size, 100)
+
+
+@pytest.mark.parametrize("fraction", [0, 1])
+def test_split_edges(spark, fraction):
+    assert sampling.split_exact(spark.range(50), fraction=fraction).where("is_test").count() == 50 * fraction
+    assert sampling.split_exact(spark.range(0), fraction=fraction).count() == 0
+
+
+def test_impossible_sizes_fail(spark):
+    with pytest.raises(ValueError, match="negative"):
+        sampling.sample_exact(spark.range(5), -1)
+    with pytest.raises(ValueError, match="between 0 and 1"):
+        sampling.split_exact(spark.range(5), fraction=1.5)
+
+
+def test_a_repeated_key_at_the_cut_fails(spark):
+    doubled = spark.range(500).union(spark.range(500))
+    with pytest.raises(ValueError, match="repeats"):
+        sampling.sample_exact(doubled, 501)
+    assert sampling.sample_exact(doubled, 500).count() == 500  # the cut lies between two keys
+
+
+def test_the_cut_is_a_literal(spark):
+    """Later passes read the source once, without a search for the cut."""
+    plan = plan_of(sampling.split_exact(spark.range(1_000)))
+    assert plan.count("Range (") == 1 and "Exchange" not in plan and "ubquery" not in plan

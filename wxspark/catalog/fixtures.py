@@ -19,8 +19,9 @@ NOW = datetime(2024, 1, 31, 17, 45, 12)
 FIRST_WEEK, FIRST_ISSUE = date(2024, 1, 1), date(2024, 1, 8)
 UNMAPPED_CITY = "Atlantis"
 CITY_NAMES = [city[0] for city in CITIES] + [UNMAPPED_CITY]
-SILENT_CITY = "Mumbai"  # has no payload
+SILENT_CITY = "Mumbai"  # each request for it was answered with status 404, as for the unmapped city
 BROKEN_CITY, BROKEN_ISSUE = "London", date(2024, 1, 15)  # answered with status 503
+UNDATED_CITY = "Sydney"  # its documents carry no issue date
 
 # Salts of the payload values; the second copy of a repeated hour adds COPY_SALT.
 VALUE_SALTS = dict(zip(HOURLY_VALUES, (41, 42, 43, 44)))
@@ -39,6 +40,24 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate.observations(ids(spark, sf_dir), ANCHOR)
 
 
+# Steps of the hour: value before, hour of the step, value from then on. Forests learn them exactly, so SQL can
+# state what comes out of training and scoring.
+STEPS = {
+    "temp_celsius": (12, 16, 27),
+    "humidity_percent": (80, 10, 55),
+    "wind_speed_kmh": (10, 14, 20),
+    "precipitation_mm": (0, 20, 4),
+}
+EXTREME_FROM = 12
+
+
+def stepped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations with targets and label that are steps of the hour."""
+    hour = F.hour("timestamp")
+    steps = {t: F.when(hour < at, F.lit(float(low))).otherwise(float(high)) for t, (low, at, high) in STEPS.items()}
+    return observations(spark, sf_dir).withColumns({**steps, "is_extreme_weather": hour >= EXTREME_FROM})
+
+
 def regimes(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = ids(spark, sf_dir)
     return generate.regimes(source, source.count())
@@ -80,7 +99,8 @@ def body_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly payload documents per city, with an hour for every city-hour that has an event.
+    """Weekly payload documents per city, with an hour for every city-hour that has an event; the early weeks and
+    two cities were answered with an error.
 
     Events are reduced to one row per city and hour before documents are packed, so a document holds
     at most 168 hours (and one repeated) however many events fall on it.
@@ -88,12 +108,11 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = (
         events(spark, sf_dir)
         .select(_city().alias("city"), to_hour(F.col("ts")).alias("hour_at"), "event_id")
-        .where(~F.col("city").isin(SILENT_CITY, UNMAPPED_CITY))
         .groupBy("city", "hour_at")
         .agg(F.min("event_id").alias("key"))
     )
     week = F.floor(F.datediff(F.col("hour_at").cast("date"), F.lit(FIRST_WEEK)) / 7).cast("int")
-    dated = cells.withColumn("issued", F.date_add(F.lit(FIRST_WEEK), week * 7)).where(F.col("issued") >= F.lit(FIRST_ISSUE))
+    dated = cells.withColumn("issued", F.date_add(F.lit(FIRST_WEEK), week * 7))
     repeated = (F.hour("hour_at") == 2) & (F.col("hour_at").cast("date") == F.col("issued"))
     copies = F.when(repeated, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     drawn = dated.withColumn("copy", F.explode(copies))
@@ -117,10 +136,11 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = entries.groupBy("city", "issued").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
     hourly = F.struct(*[F.col(f"entries.{name}").alias(name) for name in ("time", *HOURLY_VALUES)])
     broken = (F.col("city") == BROKEN_CITY) & (F.col("issued") == F.lit(BROKEN_ISSUE))
+    missing = F.col("city").isin(SILENT_CITY, UNMAPPED_CITY) | (F.col("issued") < F.lit(FIRST_ISSUE))
     return packed.select(
         "city",
-        "issued",
-        F.when(broken, 503).otherwise(200).alias("status"),
+        F.when(F.col("city") != UNDATED_CITY, F.col("issued")).alias("issued"),
+        F.when(broken, 503).when(missing, 404).otherwise(200).alias("status"),
         F.to_json(F.struct(hourly.alias("hourly")), {"ignoreNullFields": "false"}).alias("body"),
     )
 

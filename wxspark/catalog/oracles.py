@@ -1,7 +1,7 @@
 """DuckDB SQL that computes each query's result independently from the same tables.
 
 The SQL is put together from common table expressions, as most queries share the derived inputs.
-Queries over fitted forests have no SQL form; the tests check those.
+Forests are trained on steps of the hour, which they learn exactly, so their outcome has an SQL form too.
 """
 
 from __future__ import annotations
@@ -201,7 +201,7 @@ copies AS (
 {draws("dated", _VALUE_SALTS, "val")},
 val_wide AS (SELECT id, {", ".join(f"{picked(d)} AS {d}" for d in _VALUE_SALTS)} FROM val GROUP BY id),
 hours AS (
-  SELECT city, issued,
+  SELECT city, CASE WHEN city <> 'Sydney' THEN issued END AS issued,
     CAST(row_number() OVER (PARTITION BY city, issued ORDER BY hour_at, copy) - 1 AS INTEGER) AS pos,
     hour_at, strftime(hour_at, '%Y-%m-%dT%H:00') AS "time",
     CASE WHEN id % 13 <> 0 THEN {fixed("(CASE copy WHEN 0 THEN t0 ELSE t1 END) * 30", 1)} END AS temperature_2m,
@@ -229,12 +229,23 @@ SEASON = """CASE (CASE WHEN lat >= 0 THEN {month} % 12 ELSE ({month} + 6) % 12 E
 
 _AI = [f"ai_{t}" for t in (*TARGETS, "is_extreme_weather")]
 
-VERIFIED = f"""{OBSERVATIONS},
+_STEPS = {
+    "temp_celsius": "(CASE WHEN hour({at}) < 16 THEN 12 ELSE 27 END)::DOUBLE",
+    "humidity_percent": "(CASE WHEN hour({at}) < 10 THEN 80 ELSE 55 END)::DOUBLE",
+    "wind_speed_kmh": "(CASE WHEN hour({at}) < 14 THEN 10 ELSE 20 END)::DOUBLE",
+    "precipitation_mm": "(CASE WHEN hour({at}) < 20 THEN 0 ELSE 4 END)::DOUBLE",
+    "is_extreme_weather": "hour({at}) >= 12",
+}
+
+
+def _verified(values: dict[str, str]) -> str:
+    """Every request judged, given SQL for the predictions of an accepted one."""
+    return f"""{OBSERVATIONS},
 {REQUESTS},
 {TRUTH},
 predicted AS (
   SELECT l.* REPLACE (CASE WHEN error IS NULL THEN real_found END AS real_found),
-    {", ".join(f"CASE WHEN error IS NULL THEN o.{t} END AS ai_{t}" for t in (*TARGETS, "is_extreme_weather"))}
+    {", ".join(f"CASE WHEN error IS NULL THEN {v} END AS ai_{t}" for t, v in values.items())}
   FROM looked_up l JOIN observations o USING (id)
 ),
 deviated AS (
@@ -255,6 +266,10 @@ verified AS (
 )"""
 
 
+VERIFIED = _verified({t: f"o.{t}" for t in (*TARGETS, "is_extreme_weather")})
+STEPPED = {t: v.format(at="requested_at") for t, v in _STEPS.items()}
+
+
 def _number(value: str) -> str:
     return f"regexp_replace(CAST({value} AS VARCHAR), '\\.0$', '')"
 
@@ -435,12 +450,11 @@ UNION ALL SELECT 'All Data', count(*) FROM regimes"""
 
 ORACLES["training_cells"] = f"""
 WITH {OBSERVATIONS},
-blocks AS (SELECT id AS event, id >> greatest(0, 4 * (length(printf('%x', id)) - 4)) AS id FROM ids),
-{draws("blocks", {"replicate": 103}, "rep")}
+{draws("ids", {"replicate": 103}, "rep")}
 SELECT month, day, hour, CAST(bits % 32 AS INTEGER) AS replicate, CAST(is_extreme_weather AS INTEGER) AS extreme,
   count(*) AS weight,
   {", ".join(f"CAST(sum(CAST(round({t} * 100) AS BIGINT)) AS BIGINT) AS {t}_hundredths" for t in TARGETS)}
-FROM features f JOIN blocks b ON f.id = b.event JOIN rep ON b.id = rep.id GROUP BY ALL"""
+FROM features f JOIN rep ON f.id = rep.id GROUP BY ALL"""
 ORACLES["timeline_hours"] = f"""
 WITH {REQUESTS},
 starts AS (SELECT city, max(hour_at) AS start_at FROM timed WHERE error IS NULL GROUP BY city),
@@ -448,3 +462,31 @@ ahead AS (SELECT city, start_at + to_hours(CAST(h.range AS BIGINT)) AS hour_at F
 SELECT city, hour_at, CAST(month(hour_at) AS INTEGER) AS month, CAST(day(hour_at) AS INTEGER) AS day,
   CAST(hour(hour_at) AS INTEGER) AS hour
 FROM ahead"""
+
+
+def _over(at: str, prefix: str) -> str:
+    return ", ".join(f"{v.format(at=at)} AS {prefix}{t}" for t, v in _STEPS.items())
+
+
+_HELD_OUT = f"""
+WITH {OBSERVATIONS}, {_drawn(102)},
+held_out AS (
+  SELECT id, {_over('"timestamp"', "step_")} FROM features JOIN (SELECT id FROM pick WHERE u < 0.2::DOUBLE) USING (id)
+)"""
+ORACLES["forest_classify"] = f"""{_HELD_OUT}
+SELECT id, CAST(step_is_extreme_weather AS INTEGER) AS extreme, CAST(step_is_extreme_weather AS INTEGER)::DOUBLE AS predicted_extreme
+FROM held_out"""
+ORACLES["forest_regress"] = f"""{_HELD_OUT}
+SELECT id, {", ".join(f"step_{t} AS {t}, step_{t} AS predicted_{t}" for t in TARGETS)} FROM held_out"""
+ORACLES["train_metrics"] = f"""{_HELD_OUT}
+SELECT 'extreme' AS model, 'accuracy' AS metric, 1::DOUBLE AS value
+UNION ALL SELECT 'extreme', 'precision', CAST(max(CAST(step_is_extreme_weather AS INTEGER)) AS DOUBLE) FROM held_out
+{" ".join(f"UNION ALL SELECT '{t}', 'mae', 0::DOUBLE" for t in TARGETS)}"""
+ORACLES["score_requests"] = f"""
+WITH {REQUESTS}
+SELECT id, city, hour_key, {_over("requested_at", "ai_")} FROM timed WHERE error IS NULL"""
+ORACLES["verify_batch"] = f"WITH {_verified(STEPPED)} SELECT * FROM verified"
+ORACLES["verify_stream"] = ORACLES["verify_batch"]
+ORACLES["forecast_timeline"] = ORACLES["timeline_hours"].replace(
+    "\nFROM ahead", f",\n  {_over('hour_at', 'ai_')}\nFROM ahead"
+)

@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 _trained: dict[tuple[str, str], train.Trained] = {}
+_landed: dict[tuple[str, str], str] = {}
 
 
 def query(function: Query) -> Query:
@@ -29,10 +30,10 @@ def query(function: Query) -> Query:
 
 
 def trained(spark: SparkSession, sf_dir: str) -> train.Trained:
-    """The forests of this session for these tables; fitted once."""
+    """The forests of this session for these tables, fitted once, on targets that are steps of the hour."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _trained:
-        _trained[key] = train.train(fx.observations(spark, sf_dir))
+        _trained[key] = train.train(fx.stepped(spark, sf_dir))
     return _trained[key]
 
 
@@ -47,10 +48,13 @@ def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ground truth, written to the shared folder so that counting and joining it do not rebuild it."""
-    path = scratch_path(spark, "truth")
-    payloads.ground_truth(payloads.payload_hours(fx.payloads(spark, sf_dir))).write.parquet(path)
-    return spark.read.parquet(path)
+    """Ground truth, landed once for this session and these tables in the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed:
+        path = scratch_path(spark, "truth")
+        payloads.ground_truth(payloads.payload_hours(fx.payloads(spark, sf_dir))).write.parquet(path)
+        _landed[key] = path
+    return spark.read.parquet(_landed[key])
 
 
 def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:

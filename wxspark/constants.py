@@ -53,7 +53,6 @@ HOT, COLD, GALE, DELUGE = 40, -10, 100, 50
 FEATURES = ("month", "day", "hour")
 TARGETS = ("temp_celsius", "humidity_percent", "wind_speed_kmh", "precipitation_mm")
 CLASSIFIER_TREES, REGRESSOR_TREES, TREE_DEPTH, SEED = 30, 20, 8, 42
-SAMPLE_CAP = 10_000
 TEST_FRACTION = 0.2
 
 # Messages.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,57 +22,64 @@ def split_bucket(df: DataFrame, key: str = "id", fraction: float = TEST_FRACTION
 
 
 def split_exact(df: DataFrame, key: str = "id", fraction: float = TEST_FRACTION) -> DataFrame:
-    """Flag exactly ceil(fraction * n) rows as test rows."""
-    cut = _cut(df, key, SPLIT_SALT, lambda total: F.ceil(total * F.lit(fraction)))
-    return df.withColumn("is_test", _up_to(key, SPLIT_SALT, cut))
+    """Flag exactly ceil(fraction * n) rows as test rows: none for a fraction of 0, all for 1."""
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"fraction {fraction} is not between 0 and 1")
+    total = df.count()
+    return df.withColumn("is_test", _smallest(df, key, SPLIT_SALT, math.ceil(total * fraction), total))
 
 
 def sample_exact(df: DataFrame, size: int, key: str = "id") -> DataFrame:
     """Exactly ``size`` rows without replacement, or all of them when there are fewer."""
-    cut = _cut(df, key, SAMPLE_SALT, lambda total: F.lit(size).cast("long"))
-    return df.where(_up_to(key, SAMPLE_SALT, cut))
+    if size < 0:
+        raise ValueError(f"size {size} is negative")
+    return df.where(_smallest(df, key, SAMPLE_SALT, size, df.count()))
 
 
 def head(df: DataFrame, rows: int = 5, key: str = "id") -> DataFrame:
     return df.orderBy(key).limit(rows)
 
 
-def _up_to(key: str, salt: int, cut: Column) -> Column:
-    position = F.struct(draw_bits(F.col(key), salt).alias("bits"), F.col(key).cast("long").alias("key"))
-    return cut.isNull() | (position <= cut)
+def _smallest(df: DataFrame, key: str, salt: int, wanted: int, total: int) -> Column:
+    """Whether a row is among the ``wanted`` smallest by (draw, key).
+
+    The cut is found here, once, and goes into the condition as two literals, so later passes do not search
+    for it again. Keys have to be unique: an exact number of rows cannot be told apart otherwise.
+    """
+    if wanted <= 0:
+        return F.lit(False)
+    if wanted >= total:
+        return F.lit(True)
+    bits, cut = _cut(df, key, salt, wanted)
+    drawn = draw_bits(F.col(key), salt)
+    return (drawn < bits) | ((drawn == bits) & (F.col(key).cast("long") <= cut))
 
 
-def _cut(df: DataFrame, key: str, salt: int, wanted) -> Column:
-    """Scalar subquery: the (draw, key) of the last of the ``wanted`` smallest rows; null if all fit.
+def _cut(df: DataFrame, key: str, salt: int, wanted: int) -> tuple[int, int]:
+    """The (draw, key) of the last of the ``wanted`` smallest rows, of more than ``wanted``.
 
     ``orderBy(draw).limit(k)`` would move k rows of every task into one. Here two histograms of 4096
-    counters narrow the place of the cut to a 2**-24 share of the keys, and only those are ranked.
-    All three passes read the key column only. Keys are ids, that is unique; should one repeat, it
-    is counted as often, and all rows of the key at the cut are taken.
+    counters narrow the place of the cut to a 2**-24 share of the keys, and only those are ranked, by one
+    task: some 60,000 of 10**12. All three passes read the key column only.
     """
     drawn = df.select(F.col(key).cast("long").alias("key"), draw_bits(F.col(key), salt).alias("bits"))
-    drawn = drawn.select("key", "bits", F.shiftright("bits", _FIRST).alias("b1"), F.shiftright("bits", _SECOND).alias("b2"))
-
-    first = _bucket_of(drawn, "b1", wanted)
-    inside = drawn.where(F.col("b1") == first["bucket"])
-    second = _bucket_of(inside, "b2", lambda total: first["left"])
-    boundary = drawn.where(F.col("b2") == second["bucket"]).groupBy("bits", "key").agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.orderBy("bits", "key"))
-    reached = boundary.withColumn("upto", upto).where(F.col("upto") >= second["left"])
-    return reached.agg(F.min(F.struct("bits", "key"))).scalar()
-
-
-def _bucket_of(drawn: DataFrame, bucket: str, wanted) -> Column:
-    """Scalar subquery: the bucket the ``wanted``-th row falls in and how many of its rows are taken."""
-    counts = drawn.groupBy(F.col(bucket).alias("bucket")).agg(F.count("*").alias("n"))
-    order = Window.orderBy("bucket")  # over at most 4096 rows
-    running = counts.select(
-        "bucket",
-        "n",
-        F.sum("n").over(order).alias("upto"),
-        F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
-    ).withColumn("wanted", wanted(F.col("total")))
-    hit = (F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted"))
-    return running.where(hit).select(
-        F.struct("bucket", (F.col("wanted") - F.col("upto") + F.col("n")).alias("left"))
-    ).scalar()
+    left = wanted
+    for bits_kept in (_FIRST, _SECOND):
+        bucket, left = _bucket_of(drawn, bits_kept, left)
+        drawn = drawn.where(F.shiftright("bits", bits_kept) == bucket)
+    upto = F.row_number().over(Window.orderBy("bits", "key"))
+    ranked = drawn.withColumn("upto", upto).where(F.col("upto").between(left, left + 1)).orderBy("upto").collect()
+    at = ranked[0]
+    if len(ranked) > 1 and (ranked[1].bits, ranked[1].key) == (at.bits, at.key):
+        raise ValueError(f"{key} {at.key} repeats; an exact sample needs unique keys")
+    return at.bits, at.key
+
+
+def _bucket_of(drawn: DataFrame, shift: int, wanted: int) -> tuple[int, int]:
+    """The bucket that the ``wanted``-th row falls in, and how many of its rows are taken."""
+    counts = drawn.groupBy(F.shiftright("bits", shift).alias("bucket")).agg(F.count("*").alias("n"))
+    for bucket, n in sorted(counts.collect()):  # at most 4096 counters
+        if wanted <= n:
+            return bucket, wanted
+        wanted -= n
+    raise ValueError("the rows changed between two passes")

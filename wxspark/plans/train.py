@@ -37,9 +37,10 @@ from wxspark.operators.metrics import accuracy, as_rows, mean_absolute_error, pr
 from wxspark.operators.sampling import sample_exact, split_bucket, split_exact
 from wxspark.session import scratch_base
 
+# Resampling units of a feature combination. More of them follow a fit on rows more closely, and make the
+# table that the trees grow on as much larger.
 REPLICATES = 32
 REPLICATE_SALT = 103
-BLOCK_DIGITS = 4
 CELLS = 12 * 31 * 24
 # Fixed, because a forest's bootstrap is seeded per partition: another count gives other trees.
 FIT_PARTITIONS = 8
@@ -80,13 +81,10 @@ def training_cells(rows: DataFrame, replicates: int = REPLICATES) -> DataFrame:
     means, so summing up loses nothing else. Targets have two decimals and are summed as whole
     hundredths: exact, and so independent of the order of addition. A null target is an error.
 
-    The replicate is hashed from the leading four hex digits of the id, not from the whole id. So
-    neighbouring ids of a large table share one, and a task that reads a run of ids has few groups
-    left after its partial sums; below 65,536 ids every row is hashed on its own.
+    The replicate is hashed from the whole id, so how many a combination has depends on its number of rows
+    alone. A task has at most 12 * 31 * 24 * ``replicates`` * 2 groups after its partial sums.
     """
-    digits = F.length(F.hex("id"))
-    block = F.call_function("shiftright", F.col("id"), F.greatest(F.lit(0), (digits - BLOCK_DIGITS) * 4))
-    replicate = (draw_bits(block, REPLICATE_SALT) % replicates).cast("int")
+    replicate = (draw_bits(F.col("id"), REPLICATE_SALT) % replicates).cast("int")
     keys = [*FEATURES, "replicate", "extreme"]
     return (
         rows.withColumn("replicate", replicate)
@@ -198,18 +196,20 @@ def train(
     cap: int | None = None,
     exact_split: bool = False,
     fraction: float = TEST_FRACTION,
+    replicates: int = REPLICATES,
 ) -> Trained:
     """Observations to fitted forests. All five share one split.
 
     By default all rows are used and the split is by hashed bucket (narrow). ``cap`` draws a sample of
     that size first, and ``exact_split`` makes the test side exactly ceil(fraction * n) rows.
+    ``replicates`` is how many units the forests resample of each feature combination.
     """
     rows = training_rows(observations)
     if cap is not None:
         scratch_base(observations.sparkSession)
         rows = sample_exact(rows, cap).checkpoint()  # every later pass would search for its cut again
     flagged = split_exact(rows, fraction=fraction) if exact_split else split_bucket(rows, fraction=fraction)
-    model = fit_forests(training_cells(flagged.where(~F.col("is_test"))))
+    model = fit_forests(training_cells(flagged.where(~F.col("is_test")), replicates))
     return Trained(model, prediction_grid(observations.sparkSession, model), flagged.where("is_test").drop("is_test"))
 
 

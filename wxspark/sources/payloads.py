@@ -44,15 +44,21 @@ def payload_hours(payloads: DataFrame) -> DataFrame:
     )
 
 
+HOUR_TEXT = r"^\d{4}-\d{2}-\d{2}T\d{2}:00$"
+
+
 def ground_truth(hours: DataFrame) -> DataFrame:
     """One row per city and hour: from the newest payload, and in it the first position.
 
-    The order is packed into one long so that the four ``min_by`` keep fixed-width buffers and run
-    as a hash aggregate with map-side partials; ``min_by`` on structs would sort.
+    A payload without an issue date counts as older than any with one. Only times written as a full hour
+    are hours. The order is packed into one long so that the four ``min_by`` keep fixed-width buffers and
+    run as a hash aggregate with map-side partials; ``min_by`` on structs would sort.
     """
-    order = F.col("pos") - F.unix_date("issued").cast("long") * 1_000_000_000
+    issued = F.coalesce("issued", F.expr("date'0001-01-01'"))
+    order = F.col("pos") - F.unix_date(issued).cast("long") * 1_000_000_000
+    hour_at = F.when(F.col("time").rlike(HOUR_TEXT), F.col("time").try_cast("timestamp_ntz"))
     return (
-        hours.select("city", F.col("time").try_cast("timestamp_ntz").alias("hour_at"), order.alias("rank"), *HOURLY_VALUES)
+        hours.select("city", hour_at.alias("hour_at"), order.alias("rank"), *HOURLY_VALUES)
         .where(F.col("hour_at").isNotNull())
         .groupBy("city", "hour_at")
         .agg(*[F.min_by(source, "rank").alias(target) for source, target in REAL_COLUMNS.items()])

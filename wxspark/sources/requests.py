@@ -40,16 +40,38 @@ def default_requests(requests: DataFrame, now: datetime) -> DataFrame:
     )
 
 
+# Patterns of a lower-case text and what they become, in this order: a zone after a clock is taken off, names of
+# months come to three letters, dates to year-month-day, clocks to hours and minutes. Month-first unless that
+# cannot be a month.
+_WRITTEN = (
+    (r"(:\d{2}(?:[.,]\d+)?|t\d{4}(?:\d{2})?) ?(?:z|utc|gmt|[+-]\d{2}:?\d{2})$", "$1"),
+    (r"^([a-z]{3})[a-z]*\.? +(\d{1,2})(?:st|nd|rd|th)?,? +(\d{4})", "$2 $1 $3"),
+    (r"^(\d{1,2})(?:st|nd|rd|th)? +([a-z]{3})[a-z]*\.?,? +(\d{4})", "$3-$2-$1"),
+    (r"^(\d{4})(\d{2})(\d{2})(?=$|\D)", "$1-$2-$3"),
+    (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})", "$1-$2-$3"),
+    (r"^(1[3-9]|2\d|3[01])[-/.](\d{1,2})[-/.](\d{4})", "$3-$2-$1"),
+    (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})", "$3-$1-$2"),
+    (r"^(\d{4}-\w+-\d{1,2}),?[t ]+", "$1 "),
+    (r" (\d{2})(\d{2})(\d{2})$", " $1:$2:$3"),
+    (r" (\d{2})(\d{2})$", " $1:$2"),
+    (r" (\d{1,2}) ?([ap])\.?m\.?$", " $1:00 $2m"),
+    (r"(:\d{2}) ?([ap])\.?m\.?$", "$1 $2m"),
+)
+_FORMS = ("yyyy-M-d[ H:mm[:ss]]", "yyyy-M-d h:mm a", "yyyy-MMM-d[ H:mm[:ss]]", "yyyy-MMM-d h:mm a")
+
+
 def parse_date(text: Column) -> Column:
-    """ISO dates and times; else compact (20240131), year-first or month-first with slashes; else null."""
-    iso = text
-    for pattern, form in (
-        (r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
-        (r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
-        (r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2"),
-    ):
-        iso = F.regexp_replace(iso, pattern, form)
-    return F.coalesce(text.try_cast("timestamp_ntz"), iso.try_cast("timestamp_ntz"))
+    """Dates with or without a time, in the forms people write; else null.
+
+    ISO with dashes, slashes, dots or compact; month-first, or day-first where the first number exceeds 12;
+    names of months; 12-hour clocks. A zone at the end is taken off: what counts is the wall clock.
+    """
+    plain = F.lower(F.trim(text))
+    for pattern, form in _WRITTEN:
+        plain = F.regexp_replace(plain, pattern, form)
+    # The lambda binds the rewritten text, which would be computed once for each form otherwise.
+    read = F.transform(F.array(plain), lambda d: F.coalesce(*(F.try_to_timestamp(d, F.lit(f)) for f in _FORMS)))
+    return F.coalesce(text.try_cast("timestamp_ntz"), F.get(read, 0).cast("timestamp_ntz"))
 
 
 def lookup_city(requests: DataFrame) -> DataFrame:
