@@ -103,12 +103,26 @@ def test_end_to_end(spark, tmp_path):
         3: ("Invalid date format", None, None, None),
         4: ("City not mapped", None, None, None),
     }
-    assert spark.read.text(at["out"] + "/responses").count() == 4
+    responses = spark.read.json(at["out"] + "/responses")
+    assert {r.id for r in responses.collect()} == {1, 2, 3, 4}
+    assert json.loads(responses.where("id = 3").first().response) == {"error": "Invalid date format"}
 
     jobs.verify_landing_requests(
         spark, str(requests), str(documents), at["models"], at["stream"], at["progress"], availableNow=True
     ).awaitTermination()
-    assert same_rows(results, spark.read.parquet(at["stream"]).drop("batch_id"))
+    assert same_rows(results, spark.read.parquet(at["stream"] + "/results").drop("batch_id"))
+    assert same_rows(responses, spark.read.json(at["stream"] + "/responses").drop("batch_id"))
+
+    # A second micro-batch parses the document that is new, and only that one.
+    (requests / "b.json").write_text(json.dumps({"id": 6, "date": "2026-03-06T09:59", "city": "Sydney"}))
+    (documents / "b.json").write_text(json.dumps(document | {"city": "Sydney"}))
+    jobs.verify_landing_requests(
+        spark, str(requests), str(documents), at["models"], at["stream"], at["progress"], availableNow=True
+    ).awaitTermination()
+    both = {r.id: r.real_found for r in spark.read.parquet(at["stream"] + "/results").where("error is null").collect()}
+    assert both == {1: True, 2: False, 6: True}
+    parsed = spark.read.parquet(at["progress"] + "/truth/hours")
+    assert sorted(r.city for r in parsed.collect()) == ["London", "Sydney"]
 
     jobs.forecast(spark, at["models"], datetime(2026, 3, 6, 9), at["week"])
     assert spark.read.parquet(at["week"]).count() == 6 * 168
@@ -126,6 +140,19 @@ def test_generate_jobs(spark, tmp_path, monkeypatch):
     assert tables.read_regimes(spark, str(tmp_path / "regimes")).count() == 250
 
 
+def test_table_and_scales(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(generate.SCALES, "tiny", (100, 2))
+    monkeypatch.setitem(generate.SCALES, "small", (50, 2))
+    jobs.generate_observations(spark, "tiny", str(tmp_path), anchor=ANCHOR, table="tiny_observations")
+    assert same_rows(spark.table("tiny_observations"), observed(spark, 100))
+    spark.sql("DROP TABLE tiny_observations")
+    for scale in ("tiny", "small"):
+        jobs.generate_observations(spark, scale, str(tmp_path / "p"), "parquet", ANCHOR)
+    assert jobs.read_any_observations(spark, str(tmp_path / "p"), "small").count() == 50
+    with pytest.raises(ValueError, match="several scales"):
+        jobs.read_any_observations(spark, str(tmp_path / "p"))
+
+
 def test_commands_parse():
     assert parser().parse_args(["generate"]).scale == "million"
     assert parser().parse_args(["generate", "billion", "--anchor", "2024-01-31"]).anchor == datetime(2024, 1, 31)

@@ -57,6 +57,21 @@ def test_newest_document_wins(spark):
     }
 
 
+def test_undated_document_is_the_oldest(spark):
+    rows = [("London", None, 200, document([H5, H6], [3.0, 4.0])), ("London", MONDAY, 200, document([H6], [9.0]))]
+    assert truth_of(spark, rows) == {
+        ("London", datetime(2024, 1, 8, 5)): 3.0,
+        ("London", datetime(2024, 1, 8, 6)): 9.0,
+    }
+
+
+def test_only_full_hours_are_hours(spark):
+    times = ["2024-01-08", "2024-01-08T05:30", "2024-01-08 05:00", "2024-01-08T05:00:00", "soon", H5]
+    assert truth_of(spark, [("London", MONDAY, 200, document(times, [float(i) for i in range(6)]))]) == {
+        ("London", datetime(2024, 1, 8, 5)): 5.0
+    }
+
+
 def test_broken_documents_have_no_hours(spark):
     good = document([H5], [1.0])
     rows = [

@@ -34,6 +34,33 @@ def test_parse(spark):
     assert plan_of(parsed).count("json_tuple(") == 1
 
 
+WRITTEN = {
+    "2024-01-31T17:00Z": datetime(2024, 1, 31, 17),
+    "2024-01-31T17:00:05+02:00": datetime(2024, 1, 31, 17, 0, 5),
+    "20240131T1700": datetime(2024, 1, 31, 17),
+    "20240131T170059Z": datetime(2024, 1, 31, 17, 0, 59),
+    "2024-01-31 5:00 PM": datetime(2024, 1, 31, 17),
+    "31.01.2024 12:30 am": datetime(2024, 1, 31, 0, 30),
+    "01-31-2024": datetime(2024, 1, 31),
+    "31/01/2024": datetime(2024, 1, 31),
+    "02/01/2024": datetime(2024, 2, 1),
+    "2024.01.31": datetime(2024, 1, 31),
+    "Jan 5, 2024": datetime(2024, 1, 5),
+    "5 January 2024 15:00": datetime(2024, 1, 5, 15),
+    "January 5th 2024 3pm": datetime(2024, 1, 5, 15),
+    "March": None,
+    "13/13/2024": None,
+    "2024-13-01": None,
+}
+
+
+def test_dates_as_people_write_them(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(d,) for d in WRITTEN], "date string")
+    assert dict(rows.select("date", requests.parse_date(F.col("date"))).collect()) == WRITTEN
+
+
 def test_validate(spark):
     rows = [
         (1, "2024-01-08T05:30", "London", datetime(2024, 1, 8, 5, 30), None),

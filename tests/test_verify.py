@@ -50,7 +50,7 @@ def test_every_request_is_answered_once(spark, sf_dir, predict, truth):
 
 @pytest.mark.parametrize("start", [verify_stream, verify_stream_refreshed])
 def test_stream_equals_batch(spark, sf_dir, predict, truth, tmp_path, start):
-    given = truth if start is verify_stream else (lambda: truth)
+    given = truth if start is verify_stream else (lambda batch: truth)
     out = str(tmp_path / "out")
     query = start(fx.body_stream(spark, sf_dir), predict, given, out, str(tmp_path / "progress"), availableNow=True)
     query.awaitTermination()

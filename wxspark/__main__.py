@@ -7,6 +7,7 @@ from datetime import datetime
 
 from wxspark.constants import ROWS_PER_REGIME
 from wxspark.plans import jobs
+from wxspark.plans.train import REPLICATES
 from wxspark.session import build_session
 
 
@@ -19,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
     observations.add_argument("scale", nargs="?", default="million")
     observations.add_argument("--out", default=".")
     observations.add_argument("--format", choices=["csv", "parquet"], default="csv")
+    observations.add_argument("--table", help="save as this table of the catalog instead of files")
     observations.add_argument("--anchor", type=datetime.fromisoformat, help="time of id 0; now by default")
 
     regimes = commands.add_parser("regimes", help="observations of each weather type")
@@ -31,6 +33,8 @@ def parser() -> argparse.ArgumentParser:
     training.add_argument("--out", required=True)
     training.add_argument("--cap", type=int, help="draw a sample of this size first")
     training.add_argument("--exact-split", action="store_true")
+    training.add_argument("--scale", help="the scale to read of a parquet folder that holds several")
+    training.add_argument("--replicates", type=int, default=REPLICATES, help="resampling units of a feature combination")
 
     for name, text in (("verify", "landed request files"), ("stream", "request files that keep landing")):
         verification = commands.add_parser(name, help=text)
@@ -55,12 +59,14 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(hive=args.hive)
     if args.command == "generate":
         anchor = args.anchor or datetime.now()
-        jobs.generate_observations(spark, args.scale, args.out, args.format, anchor)
+        jobs.generate_observations(spark, args.scale, args.out, args.format, anchor, args.table)
         jobs.preview_observations(spark, anchor).show(truncate=False)
     elif args.command == "regimes":
         jobs.generate_regimes(spark, args.out, args.rows, args.format)
     elif args.command == "train":
-        jobs.train_models(spark, args.observations, args.out, args.cap, args.exact_split).show(truncate=False)
+        jobs.train_models(
+            spark, args.observations, args.out, args.cap, args.exact_split, args.scale, args.replicates
+        ).show(truncate=False)
     elif args.command == "verify":
         jobs.verify_requests(spark, args.requests, args.payloads, args.models, args.out)
     elif args.command == "stream":

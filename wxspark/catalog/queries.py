@@ -251,7 +251,7 @@ def verify_rules_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = verify_stream_refreshed(
         fx.body_stream(spark, sf_dir),
         fx.drawn_predictions,
-        lambda: _truth(spark, sf_dir),
+        lambda batch: _truth(spark, sf_dir),
         path,
         scratch_path(spark, "progress"),
         availableNow=True,

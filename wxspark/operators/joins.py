@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wxspark.functions.draws import draw_bits
-from wxspark.session import scratch_base
+from wxspark.session import scratch_path
 
 BROADCAST_ROWS = 500_000  # of ground truth: some 60 MB, or nine years of hours for six cities
 SALTS = 32
@@ -37,9 +37,12 @@ def _hot_keys_apart(left: DataFrame, right: DataFrame, keys: list[str], broadcas
     A key is hot when it holds more than a 1/broadcast_rows share of ``left``. There cannot be more
     than ``broadcast_rows`` such keys, so their rows of ``right`` may be broadcast, and no other key
     is large. Rows with a null key match nothing and take the broadcast side, too: the shuffle would
-    send all of them to one task.
+    send all of them to one task. ``left`` is written to the shared folder first, so that what stands below it
+    is computed once, and not for the counts and for either side.
     """
-    scratch_base(left.sparkSession)
+    path = scratch_path(left.sparkSession, "lookup")
+    left.write.parquet(path)
+    left = left.sparkSession.read.schema(left.schema).parquet(path)
     counts = left.groupBy(*keys).agg(F.count("*").alias("n")).checkpoint()
     total = counts.agg(F.sum("n")).scalar()
     hot = counts.dropna(subset=keys).where(F.col("n") * F.lit(broadcast_rows) > total).select(*keys)

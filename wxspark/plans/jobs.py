@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,8 +13,9 @@ from wxspark.constants import ROWS_PER_REGIME
 from wxspark.operators import sampling
 from wxspark.operators.metrics import display_metrics
 from wxspark.plans import timeline, train, verify
+from wxspark.schemas import HOURS, PAYLOAD_FILE
 from wxspark.session import scratch_path
-from wxspark.sources import generate, payloads, tables
+from wxspark.sources import generate, payloads, requests, tables
 from wxspark.streaming.verify_stream import verify_stream_refreshed
 
 # Ids per task when regimes are generated; a task writes one file per weather type.
@@ -21,11 +23,13 @@ _REGIME_IDS_PER_TASK = 1_000_000
 
 
 def generate_observations(
-    spark: SparkSession, scale: str, out: str, form: str = "csv", anchor: datetime | None = None
+    spark: SparkSession, scale: str, out: str, form: str = "csv", anchor: datetime | None = None, table: str | None = None
 ) -> None:
-    """A scale preset to CSV (folder named after the scale) or to parquet (partition of that name)."""
+    """A scale preset to CSV (folder named after the scale), to parquet (partition of that name), or to a table."""
     rows = generate.observations(generate.scale_ids(spark, scale), anchor)
-    if form == "csv":
+    if table:
+        tables.save_table(rows, table)
+    elif form == "csv":
         tables.write_observations_csv(rows, f"{out}/observations_{scale}.csv")
     else:
         tables.write_observations(rows, out, scale)
@@ -37,23 +41,38 @@ def preview_observations(spark: SparkSession, anchor: datetime, rows: int = 5) -
 
 
 def generate_regimes(spark: SparkSession, out: str, rows_per_type: int = ROWS_PER_REGIME, form: str = "parquet") -> None:
-    tasks = max(1, -(-rows_per_type // _REGIME_IDS_PER_TASK))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-rows_per_type // _REGIME_IDS_PER_TASK))
     rows = generate.regimes(generate.id_range(spark, rows_per_type, tasks), rows_per_type)
     (tables.write_regimes if form == "parquet" else tables.write_regimes_csv)(rows, out)
 
 
-def read_any_observations(spark: SparkSession, path: str) -> DataFrame:
-    """Observations from a CSV folder or, by default, a parquet one."""
+def read_any_observations(spark: SparkSession, path: str, scale: str | None = None) -> DataFrame:
+    """Observations from a CSV folder or, by default, a parquet one.
+
+    Ids repeat between scales, so a parquet folder of several needs one named.
+    """
     if path.rstrip("/").endswith(".csv"):
         return tables.read_observations_csv(spark, path)
-    return tables.read_observations(spark, path)
+    rows = tables.read_observations(spark, path, scale)
+    if "target_scale" in rows.columns:
+        found = [r[0] for r in rows.select("target_scale").distinct().limit(2).collect()]
+        if len(found) > 1:
+            raise ValueError(f"{path} has several scales; name one")
+        rows = rows.drop("target_scale")
+    return rows
 
 
 def train_models(
-    spark: SparkSession, observations: str, out: str, cap: int | None = None, exact_split: bool = False
+    spark: SparkSession,
+    observations: str,
+    out: str,
+    cap: int | None = None,
+    exact_split: bool = False,
+    scale: str | None = None,
+    replicates: int = train.REPLICATES,
 ) -> DataFrame:
     """Fit, evaluate and save: ``model`` (to load with pyspark.ml), ``grid`` and ``metrics`` under ``out``."""
-    job = train.train(read_any_observations(spark, observations), cap, exact_split)
+    job = train.train(read_any_observations(spark, observations, scale), cap, exact_split, replicates=replicates)
     train.save_model(job.model, f"{out}/model")
     job.grid.coalesce(1).write.mode("overwrite").parquet(f"{out}/grid")
     job.metrics().coalesce(1).write.mode("overwrite").parquet(f"{out}/metrics")
@@ -71,14 +90,48 @@ def land_truth(spark: SparkSession, landed_payloads: str, path: str) -> DataFram
     return spark.read.parquet(path)
 
 
+def land_new_hours(spark: SparkSession, landed_payloads: str, store: str) -> None:
+    """Parse the documents that landed since the last call and append their hours to ``store``, by day.
+
+    Which files have been taken is kept by the stream's own progress under ``store``.
+    """
+    hours = payloads.payload_hours(spark.readStream.schema(PAYLOAD_FILE).json(landed_payloads))
+    day = F.coalesce(F.substring("time", 1, 10).try_cast("date"), F.lit("1970-01-01").cast("date"))
+    (
+        hours.withColumn("day", day)
+        .writeStream.format("parquet")
+        .partitionBy("day")
+        .option("path", f"{store}/hours")
+        .option("checkpointLocation", f"{store}/progress")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def truth_for(spark: SparkSession, store: str, batch: DataFrame, path: str) -> DataFrame:
+    """Ground truth of the days that the requests of ``batch`` ask for; other days are not read."""
+    asked = verify.with_request_time(requests.validate_requests(requests.parse_requests(batch)))
+    span = asked.agg(F.min("hour_at").cast("date").alias("first"), F.max("hour_at").cast("date").alias("last")).first()
+    try:
+        hours = spark.read.schema(HOURS).parquet(f"{store}/hours")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        hours = spark.createDataFrame([], HOURS)  # no document has landed yet
+    hours = hours.where(F.col("day").between(F.lit(span.first), F.lit(span.last)))
+    payloads.ground_truth(hours).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def verify_requests(spark: SparkSession, landed_requests: str, landed_payloads: str, models: str, out: str) -> None:
-    """Landed request bodies to a results table (``results``) and response texts (``responses``)."""
+    """Landed request bodies to a results table (``results``) and responses with their ids (``responses``, JSON lines)."""
     bodies = spark.read.text(landed_requests).withColumnRenamed("value", "body")
     predict = train.model_predictions(read_grid(spark, models))
     results = verify.verify(bodies, predict, land_truth(spark, landed_payloads, scratch_path(spark, "truth")))
     results.write.parquet(f"{out}/results")
     stored = spark.read.parquet(f"{out}/results")
-    verify.result_json(stored).select("response").write.text(f"{out}/responses")
+    verify.result_json(stored).write.json(f"{out}/responses")
 
 
 def verify_landing_requests(
@@ -91,17 +144,21 @@ def verify_landing_requests(
     max_files: int = 10_000,
     **trigger,
 ) -> StreamingQuery:
-    """The same for files that keep landing in a folder; payloads are read again for each micro-batch.
+    """The same for files that keep landing in a folder. Payloads that landed meanwhile are parsed before each
+    micro-batch, which then reads the hours of its own days only; both stand under ``checkpoint``.
 
     A backlog is taken ``max_files`` at a time.
     """
     landed = spark.readStream.option("maxFilesPerTrigger", max_files).text(landing)
     bodies = landed.withColumnRenamed("value", "body")
     predict = train.model_predictions(read_grid(spark, models))
-    truth_path = scratch_path(spark, "truth")
-    return verify_stream_refreshed(
-        bodies, predict, lambda: land_truth(spark, landed_payloads, truth_path), out, checkpoint, **trigger
-    )
+    store, path = f"{checkpoint}/truth", scratch_path(spark, "truth")
+
+    def read_truth(batch: DataFrame) -> DataFrame:
+        land_new_hours(spark, landed_payloads, store)
+        return truth_for(spark, store, batch, path)
+
+    return verify_stream_refreshed(bodies, predict, read_truth, out, checkpoint, responses=True, **trigger)
 
 
 def forecast(spark: SparkSession, models: str, start: datetime, out: str) -> None:

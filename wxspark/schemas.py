@@ -48,3 +48,15 @@ PAYLOAD_FILE = T.StructType(
         T.StructField("body", T.StringType()),
     ]
 )
+
+# Hours of payload documents, stored by day.
+HOURS = T.StructType(
+    [
+        T.StructField("city", T.StringType()),
+        T.StructField("issued", T.DateType()),
+        T.StructField("pos", T.IntegerType()),
+        T.StructField("time", T.StringType()),
+    ]
+    + [T.StructField(name, T.DoubleType()) for name in HOURLY_VALUES]
+    + [T.StructField("day", T.DateType())]
+)

@@ -32,8 +32,9 @@ def write_observations(df: DataFrame, path: str, scale: str) -> None:
 
 
 def read_observations(spark: SparkSession, path: str, scale: str | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df if scale is None else df.where(F.col("target_scale") == scale).drop("target_scale")
+    if scale is not None:
+        return spark.read.schema(OBSERVATION).parquet(f"{path}/target_scale={scale}")
+    return spark.read.parquet(path)
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
