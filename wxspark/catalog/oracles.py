@@ -445,6 +445,9 @@ ORACLES["regime_fanout"] = f"""
 WITH {REGIME_ROWS}
 SELECT weather AS sheet, count(*) AS n_rows FROM regimes GROUP BY weather
 UNION ALL SELECT 'All Data', count(*) FROM regimes"""
+ORACLES["regime_fanout_csv"] = f"""
+WITH {REGIME_ROWS}
+SELECT row_no, {", ".join(f'{a} AS "{a} ({UNITS[a]})"' for a in ATTRIBUTES)}, weather FROM regimes"""
 
 # Models
 

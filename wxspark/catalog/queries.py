@@ -370,6 +370,14 @@ def regime_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.row_counts(tables.read_regimes(spark, path), "weather").withColumnRenamed("weather", "sheet")
 
 
+@query
+def regime_fanout_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fan-out as CSV with units in the headers, every row read back."""
+    path = scratch_path(spark, "regimes-csv")
+    tables.write_regimes_csv(fx.regimes(spark, sf_dir), path)
+    return tables.read_regimes_csv(spark, path)
+
+
 # Models
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wxspark.constants import ATTRIBUTES
 from wxspark.operators.units import header, rename_units
 from wxspark.schemas import OBSERVATION
 
@@ -66,3 +67,10 @@ def union_regimes(parts: list[DataFrame]) -> DataFrame:
 def write_regimes_csv(df: DataFrame, path: str) -> None:
     """The same fan-out as CSV whose headers carry the units."""
     rename_units(df).write.option("header", True).partitionBy(header("weather")).csv(path)
+
+
+def read_regimes_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The types' folders read back, with the headers as they were written."""
+    fields = [f"`{header(name)}` double" for name in ATTRIBUTES]
+    schema = ", ".join(["row_no long", *fields, f"`{header('weather')}` string"])
+    return spark.read.schema(schema).options(header=True, mode="FAILFAST").csv(path)
