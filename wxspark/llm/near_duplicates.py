@@ -14,10 +14,10 @@ component are estimated against all of its members in other components, chunk ag
 the registers let through leave a chunk. So each pair that shares a band has been compared, or is connected anyway. At a similarity of exactly 0.85 a pair shares no band with a chance of 1e-6; above, less.
 
 Null, empty and blank texts have no shingles, are linked with nothing and stay. A text of fewer than SHINGLE
-words is one shingle. Null ids keep their group's id, are never its smallest, and are not kept if linked; with
-no set they have a null group and stay. Rows that repeat an id are the same document and fare alike if their texts
-are equal; with different texts each is grouped by its own. Other columns pass through or are not looked at. An
-empty table gives an empty result.
+words is one shingle. Null ids are never the smallest of a group: one whose set another id has too gets that id's
+group and is not kept; a set that only null ids have is not compared, has a null group and stays. Rows that repeat
+an id are the same document and fare alike if their texts are equal; with different texts each is grouped by its
+own. Other columns pass through or are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -223,8 +223,8 @@ def _apart_pairs(open_bands: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that the registers let through and the full sets confirm."""
+def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, estimated: bool = False) -> DataFrame:
+    """The pairs that the registers let through, if they have not been asked yet, and the full sets confirm."""
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,7 +257,10 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
             rows = rows.join(own, end)
         return rows.select("a", "b", f"{value}_a", f"{value}_b")
 
-    passed = stored(beside(pairs, nodes, "registers").mapInArrow(likely, "a binary, b binary"), "likely-pairs")
+    if estimated:
+        passed = pairs
+    else:
+        passed = stored(beside(pairs, nodes, "registers").mapInArrow(likely, "a binary, b binary"), "likely-pairs")
     ends = passed.select(F.col("a").alias("node")).union(passed.select("b")).distinct()
     wanted = few(ends.join(nodes, "node").select(F.col("first_id").alias("doc_id")).distinct(), "pair-documents")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
@@ -323,7 +326,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     open_bands = stored(placed.join(largest.where(F.col("parts") > 1), "band"), "open-bands")
     second = stored(_apart_pairs(open_bands, nodes).join(first, ["a", "b"], "left_anti"), "pairs")
     if not second.isEmpty():
-        more = _links(second, nodes, docs)
+        more = _links(second, nodes, docs, estimated=True)
         if not more.isEmpty():
             labels = components(links.union(more))
 
