@@ -88,4 +88,26 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from figures
 """
 
-ORACLES: dict[str, str] = {"op4_decontamination": OP4, "op5_line_rules": OP5}
+OP7 = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+s as (
+  select distinct doc_id, array_to_string(w[i:i + 4], ' ') as g
+  from (select doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) as i from d where len(w) > 0)
+),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+e as (
+  select x, y from p join n u on u.doc_id = x join n v on v.doc_id = y where 100 * c >= 85 * (u.n + v.n - c)
+),
+both_ways as (select x, y from e union all select y, x from e),
+r as (select doc_id as x, doc_id as y from d union select r.x, b.y from r join both_ways b on r.y = b.x),
+groups as (select x, min(y) as least from r group by x)
+select doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, least as component_id, doc_id = least as kept
+from d left join n using (doc_id) join groups on x = doc_id
+"""
+
+ORACLES: dict[str, str] = {"op4_decontamination": OP4, "op5_line_rules": OP5, "op7_near_duplicates": OP7}
