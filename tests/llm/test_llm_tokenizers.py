@@ -1,0 +1,126 @@
+"""Token records and byte-level BPE against the libraries whose results they promise."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import struct
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_data import SCHEMA, row
+from tokenizers import Tokenizer
+
+from wxspark.llm import byte_bpe, pieces, token_records
+from wxspark.llm.common import table
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+ODD = [
+    "", "  a  b\n\n c\t\td  ", "a\xa0b c\x1cd\x85e", "é́x don't I'LL we've", "<|endoftext|> x<|startoftext|>y",
+    "日本語 テスト 123 ½ ²", "x" * 3000, " \n \n", "\r\n\r\nabc  \n", "ΑΣ ΟΔΟΣ. İstanbul ǅ", "👩‍👩‍👧 ok​﻿z", "é. ≠",
+]
+
+
+@pytest.fixture(scope="module")
+def reference():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(BPE, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def coder():
+    return byte_bpe.codec(BPE, public_tokenizers.PATTERN)
+
+
+def test_perfect_hash_is_minimal_and_exact(coder):
+    assert sorted(coder.hash.slots) == list(range(len(coder.vocabulary)))
+    assert all(coder.hash.get(token) == rank for rank, token in enumerate(coder.vocabulary))
+    assert coder.hash.get(b"no such entry in it") is None
+
+
+def test_heap_merges_as_the_library(coder, reference):
+    for text in ("thhaen", "Donaudampfschiff", "aaaaaaaaaaaa", "éèêë", "日本語"):
+        assert coder.merge(text.encode()) == reference.encode_ordinary(text) or coder.hash.get(text.encode()) is not None
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(text):
+    coder = byte_bpe.codec(BPE, public_tokenizers.PATTERN)
+    ids = coder.encode([text.encode("utf-8", "ignore").decode()])[0]
+    assert coder.decode(ids).decode() == text.encode("utf-8", "ignore").decode()
+
+
+def test_digests_over_documents(spark, sf_dir, reference):
+    docs = table(spark, sf_dir, "documents")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = byte_bpe.digest_table(docs, BPE, public_tokenizers.PATTERN).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = reference.encode_ordinary(texts[r.doc_id] or "")
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
+
+
+def test_odd_texts_in_both(reference, coder, monkeypatch):
+    assert coder.encode(ODD) == [reference.encode_ordinary(t) for t in ODD]
+    own = Tokenizer.from_file(WORDS)
+    want = [own.encode(t, add_special_tokens=False).ids for t in ODD]
+    assert [ids.tolist() for ids in token_records.encode(ODD, WORDS)] == want
+    monkeypatch.setattr(pieces, "GENERATION", 2)  # a memory that forgets gives the same ids
+    for _ in range(3):
+        assert [ids.tolist() for ids in token_records.encode(ODD, WORDS)] == want
+
+
+def test_encode_and_decode_tables(spark):
+    docs = spark.createDataFrame([row(k, t) for k, t in enumerate(ODD)], SCHEMA)
+    back = byte_bpe.decoded(byte_bpe.encoded(docs, BPE, public_tokenizers.PATTERN), BPE, public_tokenizers.PATTERN)
+    assert dict(back.collect()) == dict(enumerate(ODD))
+
+
+def test_records_against_the_library(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    own = Tokenizer.from_file(WORDS)
+    start = 0
+    want = []
+    for r in docs.orderBy("doc_id").collect():
+        ids = [*own.encode(r.text or "", add_special_tokens=False).ids, token_records.END_ID]
+        want.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        start += len(ids)
+    files = token_records.write_records(docs, WORDS)
+    assert files
+    got = token_records.record_table(spark, files).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == want
+
+
+def test_shuffled_read_and_damage(spark, tmp_path):
+    docs = spark.createDataFrame([row(k, f"text number {k}") for k in range(20)], SCHEMA).coalesce(1)
+    files = token_records.write_records(docs, WORDS, folder=str(tmp_path / "t"))
+    whole = [(i, ids.tolist()) for _, d, x, _ in files for i, ids in token_records.read_file(d, x)]
+    assert [i for i, _ in whole] == list(range(20))
+    _, data, index, n = files[-1]
+    doc_id, ids = token_records.read_record(data, index, n - 1)
+    assert (doc_id, ids.tolist()) == whole[-1]
+    with open(data, "r+b") as f:  # one bit of the last record
+        f.seek(-6, 2)
+        byte = f.read(1)
+        f.seek(-6, 2)
+        f.write(bytes([byte[0] ^ 1]))
+    with pytest.raises(ValueError, match="checksum"):
+        list(token_records.read_file(data, index))
+    assert token_records.masked(b"") == 0xA282EAD8 and struct.calcsize("<I") == 4
+
+
+def test_files_roll_and_equal_rows_stay(spark, monkeypatch, tmp_path):
+    docs = spark.createDataFrame([row(3, "same text")] * 50 + [row(1, "first")], SCHEMA)
+    files = token_records.write_records(docs, WORDS, folder=str(tmp_path / "t"))
+    got = token_records.record_table(spark, files).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [1] + [3] * 50
+    assert all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:], strict=False))

@@ -17,6 +17,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -139,7 +140,7 @@ class Codec:
         return tuple(ids)
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
-        return self.memory.encoded([PIECE.findall(t or "") for t in texts])
+        return [list(chain.from_iterable(ids)) for ids in self.memory.encoded([PIECE.findall(t or "") for t in texts])]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, ids))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 #: The characters with the Unicode property White_Space, as a class for ``re``.
@@ -21,21 +21,18 @@ class Memory:
         self._young: dict[str, object] = {}
         self._old: dict[str, object] = {}
 
-    def encoded(self, cut: list[list[str]]) -> list[list[int]]:
-        """The ids of each text, which is given as its pieces."""
-        found, new = {}, []
-        for piece in set(chain.from_iterable(cut)):
-            known = self._young.get(piece)
+    def encoded(self, cut: list[list[str]]) -> Iterator[Iterator]:
+        """For each text, which is given as its pieces, what is remembered of them one by one."""
+        young = self._young
+        new = []
+        for piece in set(chain.from_iterable(cut)).difference(young):
+            known = self._old.get(piece)
             if known is None:
-                known = self._old.get(piece)
-                if known is None:
-                    new.append(piece)
-                    continue
-                self._young[piece] = known
-            found[piece] = known
-        fresh = dict(zip(new, self._encode(new), strict=True)) if new else {}
-        found |= fresh
-        self._young |= fresh
-        if len(self._young) > GENERATION:
-            self._old, self._young = self._young, {}
-        return [list(chain.from_iterable(map(found.__getitem__, pieces))) for pieces in cut]
+                new.append(piece)
+            else:
+                young[piece] = known
+        if new:
+            young.update(zip(new, self._encode(new), strict=True))
+        if len(young) > GENERATION:
+            self._old, self._young = young, {}
+        return (map(young.__getitem__, pieces) for pieces in cut)

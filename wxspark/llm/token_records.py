@@ -69,36 +69,37 @@ def _memory(path: str) -> Memory:
     return _loaded[path]
 
 
-def encode_pieces(pieces: list[str], tokenizer) -> list[tuple[int, ...]]:
-    """Ids of each piece by the library.
+def encode_pieces(pieces: list[str], tokenizer) -> list[bytes]:
+    """Ids of each piece by the library, as 32-bit numbers.
 
     A piece of Latin letters is one word to it, so many are handed over as one text and told apart by the
     words that it reports. Punctuation after such a piece is encoded apart, as the library does. All other
     pieces are handed over one by one.
     """
     parts = [LATIN.fullmatch(p) for p in pieces]
-    words = sorted({m[1] for m in parts if m})
-    known: dict[str, tuple[int, ...]] = {}
+    words = list({m[1] for m in parts if m})
+    known: dict[str, bytes] = {}
     for start in range(0, len(words), TOGETHER):
         some = words[start : start + TOGETHER]
         encoding = tokenizer.encode(" ".join(some), add_special_tokens=False)
-        ids: dict[int, list[int]] = {}
-        for word, token in zip(encoding.word_ids, encoding.ids, strict=True):
-            ids.setdefault(word, []).append(token)
-        if list(ids) == list(range(len(some))):
-            known.update(zip(some, map(tuple, ids.values()), strict=True))
-    rest = {p for p, m in zip(pieces, parts, strict=True) if not m}
-    rest.update(m[2] for m in parts if m and m[2])
-    rest.update(w for w in words if w not in known)
-    alone = sorted(rest)
-    for piece, encoding in zip(alone, tokenizer.encode_batch(alone, add_special_tokens=False), strict=True):
-        known[piece] = tuple(encoding.ids)
-    return [known[m[1]] + (known[m[2]] if m[2] else ()) if m else known[p] for p, m in zip(pieces, parts, strict=True)]
-
-
-def encode(texts: list[str | None], path: str) -> list[list[int]]:
+        ids, of = np.array(encoding.ids, dtype="<u4").tobytes(), np.array(encoding.word_ids)
+        if len(of) and of[-1] == len(some) - 1 and (np.diff(of) <= 1).all() and (np.diff(of) >= 0).all() and of[0] == 0:
+            cuts = (4 * np.searchsorted(of, np.arange(len(some) + 1))).tolist()
+            known.update((w, ids[cuts[k] : cuts[k + 1]]) for k, w in enumerate(some))
+    alone = {p for p, m in zip(pieces, parts, strict=True) if not m}
+    alone.update(m[2] for m in parts if m and m[2])
+    alone.update(w for w in words if w not in known)
+    rest = list(alone)
+    for piece, encoding in zip(rest, tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
+        known[piece] = np.array(encoding.ids, dtype="<u4").tobytes()
+    known[""] = b""
+    return [known[m[1]] + known[m[2]] if m else known[p] for p, m in zip(pieces, parts, strict=True)]
+
+
+def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
     """Ids of each whole text, as one call of the library per text would give them."""
-    return _memory(path).encoded([PIECE.findall(t or "") for t in texts])
+    found = _memory(path).encoded([PIECE.findall(t or "") for t in texts])
+    return [np.frombuffer(b"".join(ids), dtype="<u4") for ids in found]
 
 
 class _Writer:
@@ -152,8 +153,7 @@ def write_records(docs: DataFrame, path: str, end_id: int = END_ID, folder: str
             for doc_id, tie, copy, tokens in zip(ids, ties, copies, encode(texts, path), strict=True):
                 if writer is None:
                     writer, first = _Writer(folder, width), (doc_id, tie, copy)
-                tokens.append(end_id)
-                writer.add(doc_id, np.array(tokens, dtype=np.uint32))
+                writer.add(doc_id, np.append(tokens, np.uint32(end_id)))
                 if writer.size >= FILE_BYTES:
                     rows.append((*first, *writer.close()))
                     writer = None
