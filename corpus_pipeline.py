@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from wxspark.llm import byte_bpe, decontaminate, language, near_duplicates, toxicity
 from wxspark.llm.common import stored, table
 
+#: Similarity of five-word shingles, in hundredths, from which the stage links two documents.
+NEAR = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain, trained on the labelled ones among them, does not call toxic."""
@@ -25,8 +28,8 @@ def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near-duplicates."""
-    return near_duplicates.deduplicated(docs)
+    """The document of the smallest id of each group of near-duplicates; they are linked from NEAR on, op7's from 0.85."""
+    return near_duplicates.deduplicated(docs, NEAR)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import base64
 import corpus_pipeline
 import public_tokenizers
 import tiktoken
+from llm_data import SCHEMA, row
 
 from wxspark.llm import decontaminate, language, near_duplicates, toxicity
 from wxspark.llm.common import stored, table
@@ -46,3 +47,34 @@ def test_run_applies_all(spark):
     n = table(spark, "/root/testdata/sf0.001", "documents").count()
     assert 0 < out.count() < n
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_near_duplicate_stage_links_from_80(spark):
+    """Pairs at and just around 0.8, found by counting: the stage drops those from 0.8 on, op7 keeps them apart."""
+
+    def shingles(words):
+        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+    texts, dropped = {}, set()
+    for k in range(30):
+        length = 40 + 7 * k
+        base = [f"b{k}_{i}" for i in range(length)]
+        for tail in range(length // 14, length // 5):
+            other = base[:-tail] + [f"t{k}_{i}" for i in range(tail)]
+            a, b = shingles(base), shingles(other)
+            if 74 * len(a | b) <= 100 * len(a & b) < 85 * len(a | b):
+                first = len(texts)
+                texts |= {first: " ".join(base), first + 1: " ".join(other)}
+                if 100 * len(a & b) >= 80 * len(a | b):
+                    dropped.add(first + 1)
+                break
+        base = [f"c{k}_{i}" for i in range(84 + 5 * k)]
+        texts[len(texts)] = " ".join(base)
+        tail = next(t for t in range(len(base), 0, -1) if 100 * (len(base) - 4 - t) >= 80 * (len(base) - 4 + t))
+        dropped.add(len(texts))  # as little over 0.8 as there can be
+        texts[len(texts)] = " ".join(base[:-tail] + [f"u{k}_{i}" for i in range(tail)])
+    docs = spark.createDataFrame([row(i, t) for i, t in texts.items()], SCHEMA)
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    assert len(dropped) >= 30
+    assert ids(stage(spark, docs, SF)) == texts.keys() - dropped
+    assert ids(near_duplicates.deduplicated(docs)) == texts.keys()

@@ -3,7 +3,8 @@
 A document is the set of its shingles of SHINGLE words, each a 64-bit hash. The hash's leading bits name one of
 REGISTERS buckets; of the smallest hash in a bucket its register keeps the number of leading zeros and the
 MANTISSA bits after the first one, 16 bits in all. An empty register borrows from a full one in a fixed order, so
-short texts fill all of them too. ROWS neighbouring registers make a band; documents that agree in a band are
+short texts fill all of them too. Some neighbouring registers make a band, as many as the threshold
+allows (band_rows); documents that agree in a band are
 candidates. Candidates are estimated from all registers, less the agreement that registers of so few bits show by
 chance, and what passes is confirmed on the full sets.
 
@@ -11,7 +12,8 @@ Large groups need neither all pairs nor a cap: copies with equal sets are one no
 all pairs are candidates, in a larger one the pairs of its leader, the node with most company over all bands.
 When the links so found have been joined to components, the members of a large band that are outside its main
 component are estimated against all of its members in other components, chunk against chunk, and only pairs that
-the registers let through leave a chunk. So each pair that shares a band has been compared, or is connected anyway. At a similarity of exactly 0.85 a pair shares no band with a chance of 1e-6; above, less.
+the registers let through leave a chunk. So each pair that shares a band has been compared, or is connected anyway. At a similarity of exactly the threshold a pair shares no band
+with a chance of 1e-6 for 0.85 and 3e-6 for 0.8; above, less.
 
 Null, empty and blank texts have no shingles, are linked with nothing and stay. A text of fewer than SHINGLE
 words is one shingle. Null ids are never the smallest of a group: one whose set another id has too gets that id's
@@ -33,11 +35,11 @@ from pyspark.sql import functions as F
 from wxspark.llm.common import bounded_batches, few, stored
 
 SHINGLE = 5
-#: 100 * intersection >= THRESHOLD * union.
+#: 100 * intersection >= threshold * union; this one, if a caller names none.
 THRESHOLD = 85
 REGISTERS, MANTISSA = 256, 10
-ROWS = 7
-BANDS = REGISTERS // ROWS
+#: A pair at the threshold may share no band with this chance at most.
+MISSED = 5e-6
 SMALL = 8
 #: Nodes of a large band that are compared at once with as many others.
 CHUNK = 128
@@ -110,12 +112,19 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return ((zeros.astype(np.uint64) << np.uint64(MANTISSA)) | after).astype(np.uint16)
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """A hash of each band's registers."""
-    rows = regs[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for k in range(ROWS):
-        key = mixed(key * _STEP + rows[:, k] + np.uint64(1))
+def band_rows(threshold: int) -> int:
+    """The most registers a band can have if pairs at the threshold shall be missed with MISSED at most."""
+    fit = [r for r in range(1, REGISTERS + 1) if (1 - (threshold / 100) ** r) ** (REGISTERS // r) <= MISSED]
+    return max(fit, default=1)
+
+
+def band_keys(regs: np.ndarray, rows: int) -> np.ndarray:
+    """A hash of each band's registers, ``rows`` a band."""
+    bands = REGISTERS // rows
+    of_band = regs[: bands * rows].reshape(bands, rows).astype(np.uint64)
+    key = np.arange(1, bands + 1, dtype=np.uint64)
+    for k in range(rows):
+        key = mixed(key * _STEP + of_band[:, k] + np.uint64(1))
     return key.astype(np.int64)
 
 
@@ -151,14 +160,14 @@ def signatures(docs: DataFrame) -> DataFrame:
     )
 
 
-def _bands(nodes: DataFrame) -> DataFrame:
+def _bands(nodes: DataFrame, rows: int) -> DataFrame:
     """band, node, n: a row per node and band."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [band_keys(np.frombuffer(r, dtype=np.uint16)) for r in batch.column(2).to_pylist()]
+            keys = [band_keys(np.frombuffer(r, dtype=np.uint16), rows) for r in batch.column(2).to_pylist()]
             if keys:
-                index = pa.array(np.repeat(np.arange(len(keys)), BANDS))
+                index = pa.array(np.repeat(np.arange(len(keys)), REGISTERS // rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys)), batch.column(0).take(index), batch.column(1).take(index)],
                     ["band", "node", "n"],
@@ -167,11 +176,11 @@ def _bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "n", "registers").mapInArrow(work, "band long, node binary, n long")
 
 
-def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+def _pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
     """Node pairs (a < b) that share a band of two tables, of sizes near enough for the threshold."""
     other = right.select("band", F.col("node").alias("other"), F.col("n").alias("m"))
     joined = left.join(other, "band").where(F.col("node") != F.col("other"))
-    near = 100 * F.least("n", "m") >= THRESHOLD * F.greatest("n", "m")
+    near = 100 * F.least("n", "m") >= threshold * F.greatest("n", "m")
     return joined.where(near).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
 
@@ -185,11 +194,12 @@ def _chunks(members: DataFrame) -> DataFrame:
     )
 
 
-def _apart_pairs(open_bands: DataFrame, nodes: DataFrame) -> DataFrame:
+def _apart_pairs(open_bands: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     """Pairs that share a large band, are in different components of it, and pass the estimate.
 
     A pair is given out in the first band that it shares only; if that is a small one, it is known already.
     """
+    rows = band_rows(threshold)
     whole = open_bands.join(nodes.select("node", "registers"), "node")
     apart = _chunks(whole.where(F.col("comp") != F.col("main")))
     both = _chunks(whole).withColumnRenamed("rows", "others").drop("chunk").join(apart.drop("chunk"), "band")
@@ -198,7 +208,7 @@ def _apart_pairs(open_bands: DataFrame, nodes: DataFrame) -> DataFrame:
         cell = cell.values
         node, comp = (np.array(cell.field(k).to_pylist(), dtype="S16").view("V16").ravel() for k in (0, 1))
         regs = np.frombuffer(b"".join(cell.field(3).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
-        return node, comp, cell.field(2).to_numpy(), regs, np.array([band_keys(r) for r in regs])
+        return node, comp, cell.field(2).to_numpy(), regs, np.array([band_keys(r, rows) for r in regs])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,8 +217,8 @@ def _apart_pairs(open_bands: DataFrame, nodes: DataFrame) -> DataFrame:
                 node, comp, n, regs, keys = fields(some)
                 node2, comp2, n2, regs2, keys2 = fields(many)
                 for i in range(len(node)):
-                    good = estimate(regs2, regs[i]) >= THRESHOLD / 100 - SLACK
-                    good &= (comp2 != comp[i]) & (100 * np.minimum(n2, n[i]) >= THRESHOLD * np.maximum(n2, n[i]))
+                    good = estimate(regs2, regs[i]) >= threshold / 100 - SLACK
+                    good &= (comp2 != comp[i]) & (100 * np.minimum(n2, n[i]) >= threshold * np.maximum(n2, n[i]))
                     for j in np.flatnonzero(good):
                         if keys[i][np.argmax(keys[i] == keys2[j])] == band:
                             left.append(node[i].tobytes())
@@ -223,7 +233,7 @@ def _apart_pairs(open_bands: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, estimated: bool = False) -> DataFrame:
+def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: int, estimated: bool = False) -> DataFrame:
     """The pairs that the registers let through, if they have not been asked yet, and the full sets confirm."""
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +243,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, estimated: bool
                     np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
                     for k in (2, 3)
                 )
-                good = pa.array(estimate(a, b) >= THRESHOLD / 100 - SLACK)
+                good = pa.array(estimate(a, b) >= threshold / 100 - SLACK)
                 yield pa.RecordBatch.from_arrays([batch.column(k).filter(good) for k in (0, 1)], ["a", "b"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +258,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, estimated: bool
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * common >= THRESHOLD * (len(x) + len(y) - common))
+                good.append(100 * common >= threshold * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(good, pa.bool_())) for k in (0, 1)], ["a", "b"])
 
     def beside(rows: DataFrame, values: DataFrame, value: str) -> DataFrame:
@@ -291,8 +301,8 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, a row for each of ``docs``."""
+def grouped(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, a row for each of ``docs``; ``threshold`` is in hundredths."""
     bounded_batches(docs.sparkSession)
     signed = stored(signatures(docs), "signatures")
     nodes = stored(
@@ -301,7 +311,7 @@ def grouped(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")),
         "nodes",
     )
-    banded = _bands(nodes)
+    banded = _bands(nodes, band_rows(threshold))
     sizes = banded.groupBy("band").agg(F.count("*").alias("size")).where(F.col("size") > 1)
     shared = stored(banded.join(sizes, "band"), "shared-bands")
 
@@ -313,8 +323,8 @@ def grouped(docs: DataFrame) -> DataFrame:
         .agg(F.max(F.struct("company", "node", "n")).alias("l"))
         .select("band", F.col("l.node").alias("node"), F.col("l.n").alias("n"))
     )
-    first = stored(_pairs(small, small).union(_pairs(leaders, large)).distinct(), "pairs")
-    links = _links(first, nodes, docs)
+    first = stored(_pairs(small, small, threshold).union(_pairs(leaders, large, threshold)).distinct(), "pairs")
+    links = _links(first, nodes, docs, threshold)
     labels = components(links)
 
     # Large bands that still hold several components.
@@ -324,9 +334,9 @@ def grouped(docs: DataFrame) -> DataFrame:
     parts = placed.groupBy("band", "comp").agg(F.count("*").alias("members"))
     largest = parts.groupBy("band").agg(F.max(F.struct("members", "comp"))["comp"].alias("main"), F.count("*").alias("parts"))
     open_bands = stored(placed.join(largest.where(F.col("parts") > 1), "band"), "open-bands")
-    second = stored(_apart_pairs(open_bands, nodes).join(first, ["a", "b"], "left_anti"), "pairs")
+    second = stored(_apart_pairs(open_bands, nodes, threshold).join(first, ["a", "b"], "left_anti"), "pairs")
     if not second.isEmpty():
-        more = _links(second, nodes, docs, estimated=True)
+        more = _links(second, nodes, docs, threshold, estimated=True)
         if not more.isEmpty():
             labels = components(links.union(more))
 
@@ -341,7 +351,8 @@ def grouped(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each group, all columns kept. Null ids stay."""
-    gone = few(grouped(docs).where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("gone")), "gone")
+    dropped = grouped(docs, threshold).where(~F.col("kept") & F.col("doc_id").isNotNull())
+    gone = few(dropped.select(F.col("doc_id").alias("gone")), "gone")
     return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
