@@ -99,6 +99,25 @@ def test_licence_templates(text, labels):
     assert licences.scan(text, licences.build_index(100, {}))[5] == labels
 
 
+def test_licence_mandatory_phrases_alone():
+    """Whatever the frequencies: the phrase word for word gives the label, the rest of the notice is not needed."""
+    known = sorted(licences.vocabulary())
+    outside = {w: 10 for w in known} | {w: 9_000 for _, _, p in licences.TEMPLATES for w in p.encode().split()}
+    tables = [{}, {w: 10_000 for w in known}, outside]
+    rng = np.random.default_rng(2)
+    tables += [dict(zip(known, map(int, rng.integers(0, 10_001, len(known))), strict=True)) for _ in range(20)]
+    for frequencies in tables:
+        index = licences.build_index(10_000, frequencies)
+        for label, _, phrase in licences.TEMPLATES:
+            for text in (phrase, f"x {phrase.title()} y"):
+                *_, labels, score = licences.scan(text, index)
+                assert label in labels.split(",") and 0 < score <= 1
+            broken = phrase.split()
+            broken.insert(1, "zzz")
+            *_, base_labels, labels, _ = licences.scan(" ".join(broken), index)
+            assert label not in set(labels.split(",")) - set(base_labels.split(","))
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     return chat.learn(table(spark, SF, "conversations"))

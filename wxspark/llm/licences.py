@@ -1,9 +1,10 @@
 """Licence notices by a positional rare-token index.
 
-The index holds, for each template, its words of highest inverse document frequency with their places. Where
-a file has such a word, the word's postings say where each template would have to begin; places that several
-words agree on are candidates, and a candidate counts if the template's mandatory phrase stands there word
-for word. Document frequencies of the templates' words are counted over all documents.
+The index holds, for each template, the words of highest inverse document frequency of its mandatory phrase with
+their places. Where a file has such a word, the word's postings say where each template would have to begin; places
+that several words agree on are candidates, and a candidate counts if the mandatory phrase stands there word for
+word. The notice's other words add to the score only. Document frequencies of the templates' words are counted
+over all documents.
 
 Beside that, the places of fixed base phrases are counted. Null texts count as empty; they have no words, no
 labels and score 0. Rows that repeat are scanned one by one; other columns are not looked at. An empty table
@@ -53,7 +54,7 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain",
      "unencumbered software released into the public domain"),
 )
-#: Rare words of a template that the index holds, and how many must agree on a place.
+#: Rare words of a mandatory phrase that the index holds, and how many must agree on a place.
 ANCHORS, AGREEING = 3, 2
 #: Byte by byte: A-Z to a-z; 0-9, a-z and bytes beyond ASCII stay; all others separate words.
 WORD_BYTES = bytes(
@@ -109,7 +110,7 @@ def build_index(n_docs: int, frequencies: dict[bytes, int]) -> Index:
     for t, (label, notice, phrase) in enumerate(TEMPLATES):
         words, part = tuple(notice.encode().split()), tuple(phrase.encode().split())
         at = next(i for i in range(len(words)) if words[i : i + len(part)] == part)
-        rare = sorted(range(len(words)), key=lambda i: (-idf[words[i]], i))[:ANCHORS]
+        rare = sorted(range(at, at + len(part)), key=lambda i: (-idf[words[i]], i))[:ANCHORS]
         for i in rare:
             postings.setdefault(words[i], []).append((t, i))
         templates.append((label, words, at, part))
