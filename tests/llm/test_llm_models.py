@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wxspark.llm import chat, language, licences, quality, queries, toxicity
+from wxspark.llm import chat, common, language, licences, quality, queries, toxicity
 from wxspark.llm.common import table
 
 SF = "/root/testdata/sf0.01"
@@ -31,6 +31,23 @@ def test_language_held_out(spark):
     assert share(named, F.col("rejected")) < 0.05
 
 
+def test_language_learns_rare_ones_too(spark, monkeypatch):
+    """Seventy languages of different frequency, each with words of its own."""
+    rng = np.random.default_rng(5)
+    words = {f"l{k:02d}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 8)) for _ in range(12)] for k in range(70)}
+    rows = [
+        (i, " ".join(rng.choice(words[name], 40)), name)
+        for i, name in enumerate(name for k, name in enumerate(words) for _ in range(2 + (69 - k) // 20))
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    assert set(model.names) == set(words)
+    assert [p[0] for p in language.predict([text for _, text, _ in rows], model)] == [name for *_, name in rows]
+    monkeypatch.setattr(common, "MAX_LABELS", 69)
+    with pytest.raises(ValueError, match="more than 69"):
+        language.learn(docs)
+
+
 def test_language_rejects_letterless_and_narrow():
     model = language.Languages(("de", "en"), (b"der die das und nicht " * 200, b"the and of with from that " * 200))
     names = [p[0] for p in language.predict(["the and of with from that the and", "12 34", None, "", "?"], model)]

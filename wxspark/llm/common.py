@@ -54,26 +54,33 @@ def ascii_lower(text: Column) -> Column:
     return F.when(text.rlike(r"^[\x00-\x7F]*$"), F.lower(text)).otherwise(F.translate(text, upper, small))
 
 
-def training_sample(rows: DataFrame, label: str, per_label: int, piece: int, max_labels: int = 64) -> list[tuple]:
-    """(label, text) pairs of a bounded sample: about ``per_label`` rows of each of the ``max_labels``
-    most frequent labels, and of each text one excerpt of at most ``piece`` characters.
+#: Labels that a sample may have: the driver then holds some hundreds of megabytes of excerpts.
+MAX_LABELS = 500
+
+
+def training_sample(rows: DataFrame, label: str, per_label: int, piece: int) -> list[tuple]:
+    """(label, text) pairs of a bounded sample: about ``per_label`` rows of each label, and of each text one
+    excerpt of at most ``piece`` characters. More than MAX_LABELS labels are an error; none is left out.
 
     Only models are fitted on it. ``rows`` has doc_id, text and ``label``. The choice is by a hash of
     doc_id, so it does not depend on partitions; rows that repeat an id count once. Excerpts begin at a
     hashed place, so that they are not all beginnings. The result is in the order of that hash.
     """
     rows = rows.where(F.col(label).isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(max_labels).collect()
+    counts = rows.groupBy(label).count().limit(MAX_LABELS + 1).collect()
     if not counts:
         return []
+    if len(counts) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} different values of {label} to learn from")
     hashed = F.xxhash64(F.lit("sample"), "doc_id")
-    share = F.lit(None).cast("double")
-    for value, count in counts:
-        share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, 1.3 * (per_label + 10) / count))).otherwise(share)
+    shares = [(value, min(1.0, 1.3 * (per_label + 10) / count)) for value, count in counts]
+    kind = rows.schema[label].dataType.simpleString()
+    shares = rows.sparkSession.createDataFrame(shares, f"{label} {kind}, share double")
     unit = F.shiftrightunsigned(hashed, 11) / F.lit(float(1 << 53))
     start = 1 + F.pmod(hashed, F.greatest(F.char_length("text") - piece, F.lit(0)) + 1).cast("int")
     chosen = (
-        rows.where(unit < share)
+        rows.join(F.broadcast(shares), label)
+        .where(unit < F.col("share"))
         .select(F.col(label).alias("label"), hashed.alias("order"), F.substring("text", start, F.lit(piece)).alias("piece"))
         .groupBy("label", "order")
         .agg(F.min("piece").alias("piece"))

@@ -1,6 +1,7 @@
 """Language identification by compression.
 
-One raw-content zstandard dictionary per language is cut from a bounded sample of its documents. A text,
+One raw-content zstandard dictionary per language is cut from a bounded sample of its documents, for every language
+that occurs; beyond common.MAX_LABELS of them learning fails. A text,
 small-lettered and with everything but letters read as spaces, is compressed with each; the language whose dictionary leaves the fewest bytes is taken, and the prediction is
 rejected when the runner-up comes too near.
 
