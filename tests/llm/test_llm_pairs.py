@@ -93,6 +93,21 @@ def test_estimate_is_near_the_similarity():
         assert abs(near - shared / (shared + 2 * own)) < 0.15
 
 
+@pytest.mark.parametrize("threshold", [80, 85])
+def test_estimate_loses_no_pair_of_short_texts(threshold):
+    """Sets of 51 or 48 shingles and some more, exactly at the threshold, whose registers are borrowed for the most part."""
+    rng = np.random.default_rng(11)
+    common = 60 * threshold // 100
+    pairs = []
+    for _ in range(15_000):
+        drawn = rng.integers(0, 2**64, 60, dtype=np.uint64)
+        half = (60 + common) // 2
+        pairs.append([near_duplicates.registers(np.sort(x)) for x in (drawn[:half], np.r_[drawn[:common], drawn[half:]])])
+    a, b = np.array(pairs).swapaxes(0, 1)
+    assert (near_duplicates.estimate(a, b) < threshold / 100 - 0.09).any()  # four standard errors are too few
+    assert near_duplicates.let_through(a, b, threshold).all()
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_sql(spark, name, sf):
