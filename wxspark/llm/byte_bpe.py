@@ -19,14 +19,13 @@ from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
-import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wxspark.llm.common import bounded_batches
+from wxspark.llm.common import bounded_batches, id_lists
 from wxspark.llm.pieces import WHITE_SPACE, Memory
 
 #: Parameter of the perfect hash: vocabulary entries per seed.
@@ -167,7 +166,7 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, pattern, table)
         for batch in batches:
-            lists = _lists(coder.encode(batch.column(1).to_pylist()))
+            lists = id_lists(coder.encode(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
@@ -210,13 +209,7 @@ def digest_table(docs: DataFrame, path: str, pattern: str, with_ids: bool = Fals
                 pa.array([hashlib.sha256(coder.decode(ids)).hexdigest() for ids in encoded_texts], pa.string()),
             ]
             if with_ids:
-                arrays.append(_lists(encoded_texts))
+                arrays.append(id_lists(encoded_texts))
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, schema)
-
-
-def _lists(rows: list[list[int]]) -> pa.ListArray:
-    offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-    flat = np.fromiter((i for ids in rows for i in ids), dtype=np.int32, count=int(offsets[-1]))
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,13 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def id_lists(rows: list[list[int]]) -> pa.ListArray:
+    """Lists of ids as an Arrow column."""
+    offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    flat = np.fromiter((i for ids in rows for i in ids), dtype=np.int32, count=int(offsets[-1]))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+
+
 def id_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor

@@ -110,4 +110,39 @@ select doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, least as componen
 from d left join n using (doc_id) join groups on x = doc_id
 """
 
-ORACLES: dict[str, str] = {"op4_decontamination": OP4, "op5_line_rules": OP5, "op7_near_duplicates": OP7}
+OP12 = r"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+),
+t as (select r, lang, source, unnest(w) as term from d),
+k as (select lang, term, count(*) as lang_n from t group by lang, term having count(distinct r) >= 30),
+v as (select lang, count(*) as v, sum(lang_n) as lang_total from k group by lang),
+g as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) as n from t join k using (lang, term) group by lang, source, term),
+gn as (select g.lang, g.source, coalesce(sum(c.n), 0) as total from g left join c using (lang, source) group by g.lang, g.source),
+p as (
+  select gn.lang, gn.source, k.term, coalesce(c.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (gn.total + 5 * v.v) as p,
+    1 + (1000000000::hugeint * (k.lang_n + 5)) // (v.lang_total + 5 * v.v) as q
+  from gn join k using (lang) join v using (lang) left join c using (lang, source, term)
+),
+apart as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by a.lang, a.source, b.source
+),
+parts as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join apart x on x.lang = a.lang and x.source = a.source and x.item = b.source
+  union all
+  select lang, source, 'term', term, p - q from p where n > 0 and p > q
+),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from parts)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+from ranked where part = 'pair' or rank <= 50
+"""
+
+ORACLES: dict[str, str] = {"op4_decontamination": OP4, "op5_line_rules": OP5, "op7_near_duplicates": OP7, "op12_divergence": OP12}

@@ -11,13 +11,16 @@ from wxspark.llm import (
     byte_bpe,
     chat,
     decontaminate,
+    divergence,
     language,
     licences,
     line_rules,
     near_duplicates,
+    piece_bpe,
     quality,
     token_records,
     toxicity,
+    vector_codes,
 )
 from wxspark.llm.common import table
 from wxspark.llm.oracles import ORACLES as ORACLES
@@ -72,6 +75,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_table(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_table(table(spark, sf_dir, "embeddings"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digest_table(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_records": op1_token_records,
     "op2_chat": op2_chat,
@@ -83,4 +98,7 @@ QUERIES: dict[str, Query] = {
     "op8_licences": op8_licences,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_divergence": op12_divergence,
+    "op13_piece_bpe": op13_piece_bpe,
 }
