@@ -11,8 +11,10 @@ chance, and what passes is confirmed on the full sets.
 Large groups need neither all pairs nor a cap: copies with equal sets are one node; in a band of up to SMALL nodes
 all pairs are candidates, in a larger one the pairs of its leader, the node with most company over all bands.
 When the links so found have been joined to components, the members of a large band that are outside its main
-component are estimated against all of its members in other components, chunk against chunk, and only pairs that
-the registers let through leave a chunk. So each pair that shares a band has been compared, or is connected anyway. At a similarity of exactly the threshold a pair shares no band
+component are compared with all of its members in other components, chunk against chunk: a task that compares two chunks
+has their registers and full sets, confirms what the registers let through, and gives out only links that connect
+components which no link of its own connects yet. So rejected pairs are never rows, and the links of a chunk are fewer than its
+members. So each pair that shares a band has been compared, or is connected anyway. At a similarity of exactly the threshold a pair shares no band
 with a chance of 1e-6 for 0.85 and 3e-6 for 0.8, if registers are independent; above, less. The estimate lets
 pairs through from ERRORS standard errors below the threshold on (0.71 for 0.85, 0.64 for 0.8), as borrowed registers
 spread more than independent ones. Simulated, 256,000 pairs a threshold, of unions of 7 to 200 shingles at the threshold
@@ -45,12 +47,12 @@ REGISTERS, MANTISSA = 256, 10
 #: A pair at the threshold may share no band with this chance at most.
 MISSED = 5e-6
 SMALL = 8
-#: Nodes of a large band that are compared at once with as many others.
-CHUNK = 128
+#: Nodes of a large band that are compared at once with as many others, and bytes of their sets.
+CHUNK, CHUNK_BYTES = 512, 8 << 20
 #: Standard errors of REGISTERS independent draws that an estimate may lie below the threshold.
 ERRORS = 6.4
-#: Words whose hashes a Python worker remembers.
-REMEMBERED = 400_000
+#: Words whose hashes a Python worker remembers, none of more bytes than that.
+REMEMBERED, LONGEST = 400_000, 64
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -58,9 +60,11 @@ _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        known = self[word] = xxhash.xxh3_64_intdigest(word)
+        known = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = known
         return known
 
 
@@ -194,57 +198,92 @@ def _pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
     return joined.where(near).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
 
-def _chunks(members: DataFrame) -> DataFrame:
-    """band, rows: the members of a band in chunks of about CHUNK."""
-    chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / CHUNK)).alias("chunk")
+def _connections(open_bands: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links between different components of large bands: enough to connect all that are linked there."""
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("size") / CHUNK), F.ceil(F.col("shingles") * 8 / CHUNK_BYTES)).cast("int")
+    whole = (
+        open_bands.select("band", "node", "n", "comp", (F.col("comp") != F.col("main")).alias("apart"), chunks.alias("chunks"))
+        .withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+        .join(nodes.select("node", "registers"), "node")
+        .join(sets, "node")
+    )
+    beside = whole.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     return (
-        members.select("band", chunk, F.struct("node", "comp", "n", "registers").alias("row"))
-        .groupBy("band", "chunk")
-        .agg(F.collect_list("row").alias("rows"))
+        beside.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
+        .select("band", "low", "high", "chunk", "node", "n", "comp", "apart", "registers", "set")
+        .groupBy("band", "low", "high")
+        .applyInArrow(lambda table: _connecting(table, threshold), "a binary, b binary")
+        .distinct()
     )
 
 
-def _apart_pairs(open_bands: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """Pairs that share a large band, are in different components of it, and pass the estimate.
+def _connecting(table: pa.Table, threshold: int) -> pa.Table:
+    """Links between the members of two chunks of a band, or within one, that connect components.
 
-    A pair is given out in the first band that it shares only; if that is a small one, it is known already.
+    A pair is compared in the first band that it shares only; if that is a small one, it is known already.
     """
+    band, low, high = (table.column(c)[0].as_py() for c in ("band", "low", "high"))
+    node, comp = table.column("node").to_pylist(), table.column("comp").to_pylist()
+    n, apart, chunk = (table.column(c).to_numpy() for c in ("n", "apart", "chunk"))
+    regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("set").to_pylist()]
     rows = band_rows(threshold)
-    whole = open_bands.join(nodes.select("node", "registers"), "node")
-    apart = _chunks(whole.where(F.col("comp") != F.col("main")))
-    both = _chunks(whole).withColumnRenamed("rows", "others").drop("chunk").join(apart.drop("chunk"), "band")
-
-    def fields(cell) -> tuple:
-        cell = cell.values
-        node, comp = (np.array(cell.field(k).to_pylist(), dtype="S16").view("V16").ravel() for k in (0, 1))
-        regs = np.frombuffer(b"".join(cell.field(3).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
-        return node, comp, cell.field(2).to_numpy(), regs, np.array([band_keys(r, rows) for r in regs])
+    keys = np.array([band_keys(r, rows) for r in regs])
+    root = {c: c for c in comp}
+
+    def find(c: bytes) -> bytes:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    left, right = [], []
+    for i in range(len(node)):
+        if chunk[i] != low:
+            continue
+        others = np.arange(i + 1, len(node)) if low == high else np.flatnonzero(chunk == high)
+        others = others[(apart[i] | apart[others]) & (100 * np.minimum(n[others], n[i]) >= threshold * np.maximum(n[others], n[i]))]
+        mine = find(comp[i])
+        others = others[[find(comp[j]) != mine for j in others]] if len(others) else others
+        others = others[let_through(regs[others], regs[i], threshold)]
+        others = others[keys[i][np.argmax(keys[others] == keys[i], axis=1)] == band]
+        if not len(others):
+            continue
+        sizes = n[others]
+        shared = _shared(sets[i], [sets[j] for j in others])
+        for j in others[100 * shared >= threshold * (len(sets[i]) + sizes - shared)]:
+            one, other = find(comp[i]), find(comp[j])
+            if one != other:
+                root[other] = one
+                left.append(min(node[i], node[j]))
+                right.append(max(node[i], node[j]))
+    return pa.table([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+
+
+def _shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of the others, none of them empty, has in common with a set; all are sorted."""
+    flat = np.concatenate(others)
+    there = one[np.minimum(np.searchsorted(one, flat), len(one) - 1)] == flat
+    starts = np.cumsum([0, *(len(o) for o in others[:-1])])
+    return np.add.reduceat(there.astype(np.int64), starts)
+
+
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, set: the full sets of the nodes in ``wanted``."""
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = [], []
-            for band, many, some in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                node, comp, n, regs, keys = fields(some)
-                node2, comp2, n2, regs2, keys2 = fields(many)
-                for i in range(len(node)):
-                    good = let_through(regs2, regs[i], threshold)
-                    good &= (comp2 != comp[i]) & (100 * np.minimum(n2, n[i]) >= threshold * np.maximum(n2, n[i]))
-                    for j in np.flatnonzero(good):
-                        if keys[i][np.argmax(keys[i] == keys2[j])] == band:
-                            left.append(node[i].tobytes())
-                            right.append(node2[j].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["x", "y"])
+            found = [shingle_set(t).tobytes() for t in batch.column(0).to_pylist()]
+            nodes_of = [xxhash.xxh3_128_digest(f) for f in found]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes_of, pa.binary()), pa.array(found, pa.binary())], ["node", "set"])
 
-    return (
-        both.select("band", "others", "rows")
-        .mapInArrow(compared, "x binary, y binary")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-    )
+    ids = few(wanted.join(nodes, "node").select(F.col("first_id").alias("doc_id")).distinct(), "pair-documents")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    # Of rows that repeat an id, those with other texts have other nodes, and equal ones are one set.
+    return texts.select("text").mapInArrow(sets, "node binary, set binary").groupBy("node").agg(F.first("set").alias("set"))
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: int, estimated: bool = False) -> DataFrame:
-    """The pairs that the registers let through, if they have not been asked yet, and the full sets confirm."""
+def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
+    """The pairs that the registers let through and the full sets confirm."""
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,12 +295,6 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: int,
                 good = pa.array(let_through(a, b, threshold))
                 yield pa.RecordBatch.from_arrays([batch.column(k).filter(good) for k in (0, 1)], ["a", "b"])
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(t).tobytes() for t in batch.column(0).to_pylist()]
-            nodes_of = [xxhash.xxh3_128_digest(f) for f in found]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes_of, pa.binary()), pa.array(found, pa.binary())], ["node", "set"])
-
     def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
@@ -277,15 +310,8 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: int,
             rows = rows.join(own, end)
         return rows.select("a", "b", f"{value}_a", f"{value}_b")
 
-    if estimated:
-        passed = pairs
-    else:
-        passed = stored(beside(pairs, nodes, "registers").mapInArrow(likely, "a binary, b binary"), "likely-pairs")
-    ends = passed.select(F.col("a").alias("node")).union(passed.select("b")).distinct()
-    wanted = few(ends.join(nodes, "node").select(F.col("first_id").alias("doc_id")).distinct(), "pair-documents")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-    # Of rows that repeat an id, those with other texts have other nodes, and equal ones are one set.
-    full = texts.select("text").mapInArrow(sets, "node binary, set binary").groupBy("node").agg(F.first("set").alias("set"))
+    passed = stored(beside(pairs, nodes, "registers").mapInArrow(likely, "a binary, b binary"), "likely-pairs")
+    full = _sets(passed.select(F.col("a").alias("node")).union(passed.select("b")).distinct(), nodes, docs)
     return stored(beside(passed, full, "set").mapInArrow(confirmed, "a binary, b binary"), "links")
 
 
@@ -341,12 +367,14 @@ def grouped(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     placed = large.join(labels, "node", "left").select(
         "band", "node", "n", "size", F.coalesce("comp", "node").alias("comp")
     )
-    parts = placed.groupBy("band", "comp").agg(F.count("*").alias("members"))
-    largest = parts.groupBy("band").agg(F.max(F.struct("members", "comp"))["comp"].alias("main"), F.count("*").alias("parts"))
+    parts = placed.groupBy("band", "comp").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    largest = parts.groupBy("band").agg(
+        F.max(F.struct("members", "comp"))["comp"].alias("main"), F.count("*").alias("parts"), F.sum("shingles").alias("shingles")
+    )
     open_bands = stored(placed.join(largest.where(F.col("parts") > 1), "band"), "open-bands")
-    second = stored(_apart_pairs(open_bands, nodes, threshold).join(first, ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        more = _links(second, nodes, docs, threshold, estimated=True)
+    if not open_bands.isEmpty():
+        sets = stored(_sets(open_bands.select("node").distinct(), nodes, docs), "sets")
+        more = stored(_connections(open_bands, nodes, sets, threshold), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
 
