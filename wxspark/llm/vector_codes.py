@@ -36,6 +36,8 @@ from wxspark.operators.joins import bounded_lookup
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Coefficients that are added up before entries are dropped.
 STEP = 4
+#: Entries are dropped one by one when at most one in so many is left; before, adding to all of them is faster.
+FEW_LEFT = 24
 #: Tasks that merge the smallest ids of all others.
 MERGERS = 64
 RESULT = "vec_id long, code string, error long, label_error long, codebooks_sha256 string"
@@ -94,19 +96,31 @@ class Nearest:
         h, g = transform(parts.astype(kind)), self._transformed[kind]
         n = h.shape[1]
         sums = np.zeros((len(h), len(g)), dtype=kind)
-        for j in range(min(STEP, n)):
-            d = np.subtract.outer(h[:, j], g[:, j])
-            sums += d * d
-        best = np.argmin(sums, axis=1)
-        rest = h[:, STEP:] - g[best, STEP:]
-        bound = sums[np.arange(len(h)), best] + (rest * rest).sum(axis=1)  # the whole sum of a likely entry
-        row, entry = np.nonzero(sums <= bound[:, None])
+        for done in range(0, n, STEP):
+            for j in range(done, min(done + STEP, n)):
+                d = np.subtract.outer(h[:, j], g[:, j])
+                sums += np.multiply(d, d, out=d)
+            if done + STEP < n:
+                best = np.argmin(sums, axis=1)
+                rest = h[:, done + STEP :] - g[best, done + STEP :]
+                bound = sums[np.arange(len(h)), best] + (rest * rest).sum(axis=1)  # the whole sum of a likely entry
+                near = sums <= bound[:, None]
+                if np.count_nonzero(near) * FEW_LEFT <= near.size:
+                    return self._among(h, g, sums, bound, near, done + STEP)
+        code = np.argmin(sums, axis=1)
+        return code, sums[np.arange(len(h)), code] // n
+
+    @staticmethod
+    def _among(h, g, sums, bound, near, done) -> tuple[np.ndarray, np.ndarray]:
+        """The search gone on, from coefficient ``done``, with the pairs of row and entry that are left."""
+        n = h.shape[1]
+        row, entry = np.nonzero(near)
         left = sums[row, entry]
-        for j in range(STEP, n, STEP):
+        for j in range(done, n, STEP):
             d = h[row, j : j + STEP] - g[entry, j : j + STEP]
             left = left + (d * d).sum(axis=1)
-            near = left <= bound[row]
-            row, entry, left = row[near], entry[near], left[near]
+            still = left <= bound[row]
+            row, entry, left = row[still], entry[still], left[still]
         first = np.searchsorted(row, np.arange(len(h)))  # every row has its likely entry left
         least = np.minimum.reduceat(left, first) if len(first) else left
         hits = np.flatnonzero(left == least[row])  # by row, then entry: the first of a row is the lowest
