@@ -11,8 +11,8 @@ WHITE_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u2
 LONGEST = 64
 #: Bytes that each of the two generations of a Python worker's memory may take, and what an entry takes besides its text and ids:
 #: two objects' heads and its share of a hash table that may have just been doubled.
-GENERATION_BYTES = 100 << 20
-ENTRY_BYTES = 260
+GENERATION_BYTES = 150 << 20
+ENTRY_BYTES = 180
 
 
 class Memory:
@@ -54,4 +54,4 @@ class Memory:
 
 
 def _cost(piece: str) -> int:
-    return ENTRY_BYTES + 12 * len(piece)
+    return ENTRY_BYTES + 8 * len(piece)

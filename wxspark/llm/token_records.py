@@ -39,10 +39,12 @@ END_ID = 2
 #: A new file is begun beyond this size.
 FILE_BYTES = 256 << 20
 #: Only these characters cut a text into pieces. All are white space to the tokenizer: it turns runs of them into
-#: a blank, never matches across them, and composes no character with them, so pieces are encoded on their own.
-PIECE = re.compile(r"[^\t-\r ]+")
-#: Precomposed Latin letters but U+0130, which is two characters in lower case, and punctuation behind them.
-LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]*)")
+#: a blank, never matches across them, and composes no character with them, so pieces are encoded on their own. So is
+#: punctuation behind a word of precomposed Latin letters (without U+0130, which is two characters in lower case).
+LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]"
+_REST = r"++(?=[.,;:!?]*+(?:[\t-\r ]|\Z))|[^\t-\r ]+"
+PIECE, SMALL_PIECE = re.compile(LETTER + _REST), re.compile("[a-z]" + _REST)  # of any text, and of ASCII in lower case
+LATIN = re.compile(LETTER + "+")
 #: Words handed over as one text.
 TOGETHER = 500
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("offset", "<u8"), ("n_tokens", "<u4")])
@@ -73,11 +75,9 @@ def encode_pieces(pieces: list[str], tokenizer) -> list[bytes]:
     """Ids of each piece by the library, as 32-bit numbers.
 
     A piece of Latin letters is one word to it, so many are handed over as one text and told apart by the
-    words that it reports. Punctuation after such a piece is encoded apart, as the library does. All other
-    pieces are handed over one by one.
+    words that it reports. All other pieces are handed over one by one.
     """
-    parts = [LATIN.fullmatch(p) for p in pieces]
-    words = list({m[1] for m in parts if m})
+    words = [p for p in pieces if LATIN.fullmatch(p)]
     known: dict[str, bytes] = {}
     for start in range(0, len(words), TOGETHER):
         some = words[start : start + TOGETHER]
@@ -86,20 +86,20 @@ def encode_pieces(pieces: list[str], tokenizer) -> list[bytes]:
         if len(of) and of[-1] == len(some) - 1 and (np.diff(of) <= 1).all() and (np.diff(of) >= 0).all() and of[0] == 0:
             cuts = (4 * np.searchsorted(of, np.arange(len(some) + 1))).tolist()
             known.update((w, ids[cuts[k] : cuts[k + 1]]) for k, w in enumerate(some))
-    alone = {p for p, m in zip(pieces, parts, strict=True) if not m}
-    alone.update(m[2] for m in parts if m and m[2])
-    alone.update(w for w in words if w not in known)
-    rest = list(alone)
+    rest = [p for p in pieces if p not in known]
     for piece, encoding in zip(rest, tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
         known[piece] = np.array(encoding.ids, dtype="<u4").tobytes()
-    known[""] = b""
-    return [known[m[1]] + known[m[2]] if m else known[p] for p, m in zip(pieces, parts, strict=True)]
+    return [known[p] for p in pieces]
 
 
-def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
-    """Ids of each whole text, as one call of the library per text would give them."""
-    found = _memory(path).encoded([PIECE.findall(t or "") for t in texts])
-    return [np.frombuffer(b"".join(ids), dtype="<u4") for ids in found]
+def encode(texts: list[str | None], path: str, end: bytes = b"") -> list[np.ndarray]:
+    """Ids of each whole text, as one call of the library per text would give them, and the ids in ``end``.
+
+    The library puts texts into lower case; where that can be done beforehand, fewer words have to be remembered.
+    """
+    given = (t or "" for t in texts)
+    found = _memory(path).encoded([SMALL_PIECE.findall(t.lower()) if t.isascii() else PIECE.findall(t) for t in given])
+    return [np.frombuffer(b"".join((*ids, end)), dtype="<u4") for ids in found]
 
 
 class _Writer:
@@ -144,16 +144,17 @@ def write_records(docs: DataFrame, path: str, end_id: int = END_ID, folder: str
     spark = docs.sparkSession
     bounded_batches(spark)
     folder = folder or scratch_path(spark, "tokens")
+    end = struct.pack("<I", end_id)
     width = 2 if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, rows, first = None, [], None
         for batch in batches:
             ids, ties, copies, texts = (c.to_pylist() for c in batch.columns)
-            for doc_id, tie, copy, tokens in zip(ids, ties, copies, encode(texts, path), strict=True):
+            for doc_id, tie, copy, tokens in zip(ids, ties, copies, encode(texts, path, end), strict=True):
                 if writer is None:
                     writer, first = _Writer(folder, width), (doc_id, tie, copy)
-                writer.add(doc_id, np.append(tokens, np.uint32(end_id)))
+                writer.add(doc_id, tokens)
                 if writer.size >= FILE_BYTES:
                     rows.append((*first, *writer.close()))
                     writer = None
