@@ -11,6 +11,7 @@ from wxspark.__main__ import parser
 from wxspark.plans import jobs
 from wxspark.session import scratch_base, scratch_path
 from wxspark.sources import generate, tables
+from wxspark.sources.truth_store import TruthStore
 
 ANCHOR = datetime(2026, 3, 6, 9, 11, 7, 518562)
 
@@ -110,10 +111,11 @@ def test_end_to_end(spark, tmp_path):
     jobs.verify_landing_requests(
         spark, str(requests), str(documents), at["models"], at["stream"], at["progress"], availableNow=True
     ).awaitTermination()
+    assert {r.model_version for r in results.collect()} == {1}
     assert same_rows(results, spark.read.parquet(at["stream"] + "/results").drop("batch_id"))
     assert same_rows(responses, spark.read.json(at["stream"] + "/responses").drop("batch_id"))
 
-    # A second micro-batch parses the document that is new, and only that one.
+    # A second micro-batch merges the document that is new, and only that one.
     (requests / "b.json").write_text(json.dumps({"id": 6, "date": "2026-03-06T09:59", "city": "Sydney"}))
     (documents / "b.json").write_text(json.dumps(document | {"city": "Sydney"}))
     jobs.verify_landing_requests(
@@ -121,8 +123,9 @@ def test_end_to_end(spark, tmp_path):
     ).awaitTermination()
     both = {r.id: r.real_found for r in spark.read.parquet(at["stream"] + "/results").where("error is null").collect()}
     assert both == {1: True, 2: False, 6: True}
-    parsed = spark.read.parquet(at["progress"] + "/truth/hours")
-    assert sorted(r.city for r in parsed.collect()) == ["London", "Sydney"]
+    store = TruthStore(spark, at["progress"] + "/truth")
+    assert sorted(r.city for r in store.read_all().collect()) == ["London", "Sydney"] and store.versions.current() == 2
+    assert [r.city for r in spark.read.parquet(at["progress"] + "/truth/landed/version=2").collect()] == ["Sydney"]
 
     jobs.forecast(spark, at["models"], datetime(2026, 3, 6, 9), at["week"])
     assert spark.read.parquet(at["week"]).count() == 6 * 168

@@ -48,6 +48,12 @@ WRITTEN = {
     "Jan 5, 2024": datetime(2024, 1, 5),
     "5 January 2024 15:00": datetime(2024, 1, 5, 15),
     "January 5th 2024 3pm": datetime(2024, 1, 5, 15),
+    "Wed, 31 Jan 2024 17:00:00 GMT": datetime(2024, 1, 31, 17),
+    "Wednesday 31 January 2024": datetime(2024, 1, 31),
+    "Thurs. Feb 1, 2024 3:05 pm": datetime(2024, 2, 1, 15, 5),
+    "Monday, 2024-01-08 05:30": datetime(2024, 1, 8, 5, 30),
+    "sun 2024-01-07": datetime(2024, 1, 7),
+    "Wednesday": None,
     "March": None,
     "13/13/2024": None,
     "2024-13-01": None,

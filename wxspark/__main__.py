@@ -36,17 +36,29 @@ def parser() -> argparse.ArgumentParser:
     training.add_argument("--scale", help="the scale to read of a parquet folder that holds several")
     training.add_argument("--replicates", type=int, default=REPLICATES, help="resampling units of a feature combination")
 
+    training.add_argument("--bootstrap", choices=["replicates", "rows"], default="replicates", help="what the trees resample")
+    training.add_argument("--store", help="keep sums here and read only files that are new; all rows train")
+
     for name, text in (("verify", "landed request files"), ("stream", "request files that keep landing")):
         verification = commands.add_parser(name, help=text)
         verification.add_argument("--requests", required=True, help="JSON lines with id, date and city")
         verification.add_argument("--payloads", required=True, help="JSON lines with city, issued, status and body")
         verification.add_argument("--models", required=True)
         verification.add_argument("--out", required=True)
+        verification.add_argument("--fill-defaults", action="store_true", help="absent dates are now, absent cities the first one")
         if name == "stream":
             verification.add_argument("--checkpoint", required=True)
             verification.add_argument("--max-files", type=int, default=10_000, help="per micro-batch")
+            verification.add_argument("--wait", action="store_true", help="leave requests waiting whose hour is not known")
             verification.add_argument("--once", action="store_true", help="stop after the files present")
 
+    late = commands.add_parser("answer-late", help="answer the requests that a stream left waiting")
+    for name in ("--payloads", "--models", "--out", "--checkpoint"):
+        late.add_argument(name, required=True)
+    late.add_argument("--wait", default="6 hours", help="how long a request waits for its hour")
+    late.add_argument("--lateness", default="10 minutes", help="how far files may be read out of the order of their times")
+    late.add_argument("--once", action="store_true", help="stop after the files present")
+
     timeline = commands.add_parser("timeline", help="seven-day hourly forecast per city")
     timeline.add_argument("--models", required=True)
     timeline.add_argument("--start", type=datetime.fromisoformat, required=True)
@@ -64,15 +76,26 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "regimes":
         jobs.generate_regimes(spark, args.out, args.rows, args.format)
     elif args.command == "train":
-        jobs.train_models(
-            spark, args.observations, args.out, args.cap, args.exact_split, args.scale, args.replicates
-        ).show(truncate=False)
+        if args.store:
+            scores = jobs.train_appended(spark, args.observations, args.store, args.out)
+        else:
+            scores = jobs.train_models(
+                spark, args.observations, args.out, args.cap, args.exact_split, args.scale, args.replicates, args.bootstrap
+            )
+        scores.show(truncate=False)
     elif args.command == "verify":
-        jobs.verify_requests(spark, args.requests, args.payloads, args.models, args.out)
+        now = datetime.now() if args.fill_defaults else None
+        jobs.verify_requests(spark, args.requests, args.payloads, args.models, args.out, now)
     elif args.command == "stream":
         trigger = {"availableNow": True} if args.once else {}
         jobs.verify_landing_requests(
-            spark, args.requests, args.payloads, args.models, args.out, args.checkpoint, args.max_files, **trigger
+            spark, args.requests, args.payloads, args.models, args.out, args.checkpoint, args.max_files,
+            wait=args.wait, fill_defaults=args.fill_defaults, **trigger,
+        ).awaitTermination()
+    elif args.command == "answer-late":
+        trigger = {"availableNow": True} if args.once else {}
+        jobs.verify_waiting_requests(
+            spark, args.payloads, args.models, args.out, args.checkpoint, args.wait, args.lateness, **trigger
         ).awaitTermination()
     elif args.command == "timeline":
         jobs.forecast(spark, args.models, args.start, args.out)

@@ -89,6 +89,35 @@ def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bodies_of(events(spark, sf_dir))
 
 
+def request_lines(events_: DataFrame) -> DataFrame:
+    """The requests as lines of JSON with their ids, as they land in files."""
+    return requests_of(events_).select(F.to_json(F.struct("id", "date", "city")).alias("value"))
+
+
+def damaged_request_lines(events_: DataFrame) -> DataFrame:
+    """The same, with some lines cut off, not JSON objects, or empty."""
+    key, line = F.col("event_id"), F.to_json(F.struct("event_id", F.col("ts").cast("string").alias("date")))
+    value = (
+        F.when(key % 11 == 0, F.substring(line, 1, 12))
+        .when(key % 11 == 1, F.concat(F.lit("["), key, F.lit("]")))
+        .when(key % 11 == 2, key.cast("string"))
+        .when(key % 11 == 3, "")
+        .otherwise(line)
+    )
+    return events_.select(value.alias("value"))
+
+
+def damaged_observation_lines(observations_: DataFrame) -> DataFrame:
+    """Observations as lines of CSV, some short of fields, some with too many, a wrong type or a missing value."""
+    key = F.col("id")
+    temp = F.when(key % 13 == 2, "warm").when(key % 13 == 3, "").otherwise(F.col("temp_celsius").cast("string"))
+    at = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    front = F.concat_ws(",", key, "weather_station_id", at, temp, "humidity_percent", "wind_speed_kmh", "precipitation_mm")
+    whole = F.concat_ws(",", front, "pressure_hpa", "is_extreme_weather")
+    line = F.when(key % 13 == 0, front).when(key % 13 == 1, F.concat(whole, F.lit(",1"))).otherwise(whole)
+    return observations_.select(line.alias("value"))
+
+
 def body_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bodies as a stream over the events table, whether that is one file or a folder of files.
 

@@ -7,6 +7,7 @@ Forests are trained on steps of the hour, which they learn exactly, so their out
 from __future__ import annotations
 
 from wxspark.constants import ATTRIBUTES, CITIES, REGIMES, TARGETS, UNITS
+from wxspark.plans import train
 from wxspark.sources import generate
 
 ORACLES: dict[str, str] = {}
@@ -212,12 +213,14 @@ hours AS (
   WHERE issued >= DATE '2024-01-08' AND NOT (city = 'London' AND issued = DATE '2024-01-15')
 )"""
 
-TRUTH = f"""{HOURS},
+TRUTH_ROWS = f"""{HOURS},
 truth AS (
   SELECT city, hour_at, temperature_2m AS real_temp_celsius, relative_humidity_2m AS real_humidity_percent,
     wind_speed_10m AS real_wind_speed_kmh, precipitation AS real_precipitation_mm, TRUE AS hit
   FROM hours QUALIFY row_number() OVER (PARTITION BY city, hour_at ORDER BY issued DESC, pos) = 1
-),
+)"""
+
+TRUTH = f"""{TRUTH_ROWS},
 looked_up AS (
   SELECT t.*, COALESCE(hit, FALSE) AS real_found, real_temp_celsius, real_humidity_percent, real_wind_speed_kmh,
     real_precipitation_mm
@@ -335,6 +338,9 @@ WITH {REQUESTS},
 SELECT id, city, hour_key, real_found, {", ".join(f"real_{t}" for t in TARGETS)} FROM looked_up WHERE error IS NULL"""
 ORACLES["ground_truth_lookup_shuffled"] = ORACLES["ground_truth_lookup"]
 
+ORACLES["ground_truth_lookup_bucketed"] = ORACLES["ground_truth_lookup"]
+ORACLES["ground_truth_merged"] = f"WITH {TRUTH_ROWS} SELECT * EXCLUDE (hit) FROM truth"
+
 # Verdicts
 
 ORACLES["season"] = f"""
@@ -383,6 +389,18 @@ FROM verified"""
 ORACLES["verify_rules"] = f"WITH {VERIFIED} SELECT * FROM verified"
 ORACLES["verify_rules_stream"] = ORACLES["verify_rules"]
 ORACLES["verify_rules_refreshed"] = ORACLES["verify_rules"]
+ORACLES["verify_rules_awaited"] = ORACLES["verify_rules"]
+ORACLES["requests_quarantine"] = """
+WITH lines AS (SELECT event_id AS id, '{"event_id":' || event_id || ',"date":"' AS front, event_id % 11 AS kind FROM events)
+SELECT CASE kind WHEN 0 THEN substr(front, 1, 12) WHEN 1 THEN '[' || id || ']' WHEN 2 THEN CAST(id AS VARCHAR) ELSE '' END AS body,
+  CASE kind WHEN 0 THEN 'no JSON' WHEN 1 THEN 'no JSON object but array' WHEN 2 THEN 'no JSON object but bigint' ELSE 'empty line' END AS reason
+FROM lines WHERE kind < 4
+UNION ALL SELECT NULL, count(*) || ' sound' FROM lines WHERE kind >= 4"""
+ORACLES["observations_quarantine"] = """
+SELECT CAST(event_id AS VARCHAR) AS record,
+  CASE event_id % 13 WHEN 0 THEN '7 of 9 fields' WHEN 1 THEN '10 of 9 fields' WHEN 2 THEN 'temp_celsius is no double: warm'
+    WHEN 3 THEN 'temp_celsius is missing' ELSE 'sound' END AS reason
+FROM events"""
 
 # Aggregates and metrics
 
@@ -458,6 +476,23 @@ SELECT month, day, hour, CAST(bits % 32 AS INTEGER) AS replicate, CAST(is_extrem
   count(*) AS weight,
   {", ".join(f"CAST(sum(CAST(round({t} * 100) AS BIGINT)) AS BIGINT) AS {t}_hundredths" for t in TARGETS)}
 FROM features f JOIN rep ON f.id = rep.id GROUP BY ALL"""
+_CELL_SUMS = ", ".join(f"CAST(sum({{times}}CAST(round({t} * 100) AS BIGINT)) AS BIGINT) AS {t}_hundredths" for t in TARGETS)
+ORACLES["training_cells_merged"] = f"""
+WITH {OBSERVATIONS},
+{draws("ids", {"replicate": 103}, "rep")},
+{_drawn(102)}
+SELECT month, day, hour, CAST(rep.bits % 32 AS INTEGER) AS replicate, CAST(is_extreme_weather AS INTEGER) AS extreme,
+  CAST(count(*) AS BIGINT) AS weight, {_CELL_SUMS.format(times="")}
+FROM features f JOIN rep ON f.id = rep.id JOIN pick ON f.id = pick.id WHERE pick.u >= 0.2::DOUBLE GROUP BY ALL"""
+_TREES = {str(t): train.BOOTSTRAP_SALT + t for t in range(train.CLASSIFIER_TREES)}
+_TIMES = " + ".join(f"CAST(u >= {p!r}::DOUBLE AS BIGINT)" for p in train.AT_MOST)
+ORACLES["bootstrap_cells"] = f"""
+WITH {OBSERVATIONS},
+{draws("ids", _TREES, "boot")},
+times AS (SELECT id, CAST(draw AS INTEGER) AS tree, {_TIMES} AS times FROM boot)
+SELECT tree, month, day, hour, CAST(is_extreme_weather AS INTEGER) AS extreme, CAST(sum(times) AS BIGINT) AS weight,
+  {_CELL_SUMS.format(times="times * ")}
+FROM features JOIN times USING (id) WHERE times > 0 GROUP BY ALL"""
 ORACLES["timeline_hours"] = f"""
 WITH {REQUESTS},
 starts AS (SELECT city, max(hour_at) AS start_at FROM timed WHERE error IS NULL GROUP BY city),

@@ -12,9 +12,11 @@ from wxspark.constants import ATTRIBUTES, REGIMES, TARGETS
 from wxspark.functions import calendar, rules
 from wxspark.operators import metrics, sampling
 from wxspark.operators.units import rename_units
-from wxspark.plans import timeline, train, verify
+from wxspark.plans import jobs, timeline, train, verify
+from wxspark.plans.cell_store import CellStore
 from wxspark.session import scratch_path
 from wxspark.sources import dims, generate, payloads, requests, tables
+from wxspark.sources.truth_store import TruthStore
 from wxspark.streaming.verify_stream import verify_stream, verify_stream_refreshed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,6 +195,27 @@ def ground_truth_lookup_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", "city", "hour_key", "real_found", *[f"real_{t}" for t in TARGETS])
 
 
+@query
+def ground_truth_lookup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """That plan again, with the ground truth as a table in buckets, which it does not shuffle."""
+    path = scratch_path(spark, "truth-table")
+    name = "truth_" + path.rsplit("-", 1)[1]
+    tables.save_table(_truth(spark, sf_dir), name, path, by=("city", "hour_at"))
+    found = payloads.lookup_truth(_valid(spark, sf_dir), spark.table(name), "id", broadcast_rows=100)
+    return found.select("id", "city", "hour_key", "real_found", *[f"real_{t}" for t in TARGETS])
+
+
+@query
+def ground_truth_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ground truth merged as the documents land in three parts, one of them twice."""
+    documents = fx.payloads(spark, sf_dir)
+    store = TruthStore(spark, scratch_path(spark, "truth-store"))
+    for part in (2, 0, 1, 0):
+        landed = documents.where(F.pmod(F.xxhash64("city", "issued"), F.lit(3)) == part)
+        store.merge(payloads.payload_hours(landed))
+    return store.read_all().drop("real_found")
+
+
 # Verdicts
 
 
@@ -260,6 +283,61 @@ def verify_rules_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
+@query
+def verify_rules_awaited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by requests that come before half of the forecasts do: answered at once, when their hour lands, or when it
+    can no longer land in time."""
+    requests_at, payloads_at, out, first, late = (scratch_path(spark, f"awaited-{n}") for n in ("r", "p", "out", "cp", "late"))
+    begin = F.lit("2024-06-01 00:00:00").cast("timestamp")
+    after = begin + F.expr("interval 2 days")
+    landed_at = F.when(F.col("status") == 0, after).otherwise(begin + F.expr("interval 20 minutes"))
+
+    def ask(clock) -> None:
+        jobs.verify_landing_requests(
+            spark, requests_at, payloads_at, "", out, first, wait=True, clock=clock, predict=fx.drawn_predictions, availableNow=True
+        ).awaitTermination()
+
+    def answer() -> None:
+        jobs.verify_waiting_requests(
+            spark, payloads_at, "", out, late, "1 hour", "10 minutes", landed_at, fx.drawn_predictions, availableNow=True
+        ).awaitTermination()
+
+    documents = fx.payloads(spark, sf_dir)
+    early = F.pmod(F.xxhash64("city", "issued"), F.lit(2)) == 0
+    fx.request_lines(fx.events(spark, sf_dir)).write.text(requests_at)
+    documents.where(early).write.json(payloads_at)
+    ask(begin)
+    documents.where(~early).write.mode("append").json(payloads_at)
+    answer()
+    # Two days on; a request without a date is none, and a document without hours brings none.
+    spark.sql("""SELECT '{"date": ""}' AS value""").write.mode("append").text(requests_at)
+    spark.sql("SELECT 0 AS status").write.mode("append").json(payloads_at)
+    ask(after)
+    answer()
+    return spark.read.parquet(f"{out}/results").unionByName(spark.read.parquet(f"{out}/late_results")).drop("batch_id")
+
+
+@query
+def requests_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no requests, with the reason; and the number of lines that are."""
+    path = scratch_path(spark, "damaged-requests")
+    fx.damaged_request_lines(fx.events(spark, sf_dir)).write.text(path)
+    lines = requests.read_bodies(spark, path)
+    sound = requests.sound_bodies(lines).agg(F.lit(None).cast("string").alias("body"), F.concat(F.count("*"), F.lit(" sound")).alias("reason"))
+    return requests.damaged_bodies(lines).select("body", "reason").unionByName(sound)
+
+
+@query
+def observations_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a CSV folder that are no observations, with the reason; and the ids of those that are."""
+    path = scratch_path(spark, "damaged-observations")
+    lines = fx.damaged_observation_lines(fx.observations(spark, sf_dir))
+    lines.write.option("header", True).option("quote", "").option("escapeQuotes", False).option("delimiter", "\u0001").csv(path)
+    good, bad = tables.split_observations_csv(spark, path)
+    sound = good.select(F.col("id").cast("string").alias("record"), F.lit("sound").alias("reason"))
+    return bad.select(F.split_part("record", F.lit(","), F.lit(1)).alias("record"), "reason").unionByName(sound)
+
+
 # Aggregates and metrics
 
 
@@ -386,6 +464,23 @@ def training_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.training_cells(train.training_rows(fx.observations(spark, sf_dir)))
 
 
+@query
+def training_cells_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of the training rows, taken in from a folder to which files are added twice."""
+    path = scratch_path(spark, "appended")
+    store = CellStore(spark, scratch_path(spark, "cells"))
+    rows = fx.observations(spark, sf_dir)
+    for part in (0, 1):
+        rows.where(F.col("id") % 3 == part if part else F.col("id") % 3 != 1).write.mode("append").parquet(path)
+        store.take_in(path)
+    return store.cells()
+
+
+@query
+def bootstrap_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return train.bootstrap_cells(train.training_rows(fx.observations(spark, sf_dir)), train.CLASSIFIER_TREES)
+
+
 @query
 def forest_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = trained(spark, sf_dir)

@@ -12,12 +12,13 @@ done once per combination and not once per row:
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,15 +33,19 @@ from wxspark.constants import (
     TREE_DEPTH,
 )
 from wxspark.functions.calendar import calendar_parts
-from wxspark.functions.draws import draw_bits, fixed
+from wxspark.functions.draws import draw_bits, fixed, uniform
 from wxspark.operators.metrics import accuracy, as_rows, mean_absolute_error, precision
 from wxspark.operators.sampling import sample_exact, split_bucket, split_exact
-from wxspark.session import scratch_base
+from wxspark.session import scratch_base, scratch_path
 
-# Resampling units of a feature combination. More of them follow a fit on rows more closely, and make the
-# table that the trees grow on as much larger.
+# Resampling units of a feature combination, for trees on one shared table of cells. More of them follow a fit on rows more
+# closely, and make the table as much larger; ``bootstrap_cells`` resamples the rows themselves.
 REPLICATES = 32
 REPLICATE_SALT = 103
+#: The tree of number t draws its rows' weights with the salt BOOTSTRAP_SALT + t.
+BOOTSTRAP_SALT = 200
+#: Trees that are fitted at once.
+FITS = 8
 CELLS = 12 * 31 * 24
 # Fixed, because a forest's bootstrap is seeded per partition: another count gives other trees.
 FIT_PARTITIONS = 8
@@ -157,6 +162,77 @@ def fit_forests(cells: DataFrame) -> PipelineModel:
     return PipelineModel([assembler, *fitted])
 
 
+# Chances that a row is drawn at most 0, 1, ... times by a tree, if it is drawn once on average.
+AT_MOST = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(12)]
+
+
+def bootstrap_weight(key: Column, tree: Column) -> Column:
+    """How often the row of this key is drawn by a tree: Poisson of mean 1, by the key and the tree alone."""
+    u = uniform(key, tree + BOOTSTRAP_SALT)
+    return sum((u >= p).cast("int") for p in AT_MOST)
+
+
+def bootstrap_cells(rows: DataFrame, trees: int) -> DataFrame:
+    """Training rows summed up per (tree, features, label), each as often as the tree draws it.
+
+    One pass over the rows makes the samples of all trees, by partial sums in each task: at most
+    12 * 31 * 24 * 2 * ``trees`` groups, whatever the number of rows. The sums are exact.
+    """
+    drawn = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    drawn = drawn.withColumn("times", bootstrap_weight(F.col("id"), F.col("tree"))).where("times > 0")
+    return drawn.groupBy("tree", *FEATURES, "extreme").agg(
+        F.sum("times").alias("weight"),
+        *[F.sum(F.col("times") * _hundredths(t)).alias(f"{t}_hundredths") for t in TARGETS],
+    )
+
+
+def fit_bootstrapped(cells: DataFrame, only: tuple[str, ...] = ("extreme", *TARGETS)) -> PipelineModel:
+    """Fit each tree of the five forests on its own sample, and average them.
+
+    A resampled row weighs what it weighs in a fit on rows, so trees differ as much as there, also where a
+    feature combination has thousands of rows. Class trees are grown on the label as a number: the splits that reduce
+    its variance most are those that reduce impurity most, and a leaf's mean is its share of the class.
+    """
+    spark = cells.sparkSession
+    path = scratch_path(spark, "bootstrap")
+    cells.repartition("tree").sortWithinPartitions(*FEATURES, "extreme").write.partitionBy("tree").parquet(path)
+    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+    trees = {label: CLASSIFIER_TREES if label == "extreme" else REGRESSOR_TREES for label in only}
+    points = {
+        t: assembler.transform(
+            spark.read.parquet(f"{path}/tree={t}").select(
+                *FEATURES,
+                F.col("extreme").cast("double").alias("extreme"),
+                F.col("weight").cast("double").alias("weight"),
+                *[(F.col(f"{x}_hundredths") / F.col("weight") / 100).alias(x) for x in TARGETS],
+            )
+        ).coalesce(1)
+        for t in range(max(trees.values()))
+    }
+
+    def fit(label: str, t: int):
+        tree = RandomForestRegressor(
+            numTrees=1, bootstrap=False, maxDepth=TREE_DEPTH, seed=SEED + t, weightCol="weight", labelCol=label,
+            featureSubsetStrategy="1" if label == "extreme" else "all", predictionCol=_of_tree(label, t),
+        )
+        return tree.fit(points[t])
+
+    wanted = [(label, t) for label, n in trees.items() for t in range(n)]
+    with ThreadPoolExecutor(FITS) as pool:
+        fitted = list(pool.map(lambda w: fit(*w), wanted))
+    return PipelineModel([assembler, *fitted, SQLTransformer(statement=f"SELECT {_averages(trees)} FROM __THIS__")])
+
+
+def _of_tree(label: str, t: int) -> str:
+    return f"{label}_tree_{t}"
+
+
+def _averages(trees: dict[str, int]) -> str:
+    means = {label: "(" + " + ".join(_of_tree(label, t) for t in range(n)) + f") / {n}" for label, n in trees.items()}
+    named = [f"CAST({m} > 0.5 AS DOUBLE) AS {CLASS_PREDICTION}" if x == "extreme" else f"{m} AS {predicted(x)}" for x, m in means.items()]
+    return ", ".join(["*", *named])
+
+
 def prediction_grid(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """The five predictions for every (month, day, hour): 8,928 rows whatever the data."""
     scratch_base(spark)
@@ -197,19 +273,27 @@ def train(
     exact_split: bool = False,
     fraction: float = TEST_FRACTION,
     replicates: int = REPLICATES,
+    bootstrap: str = "replicates",
 ) -> Trained:
     """Observations to fitted forests. All five share one split.
 
     By default all rows are used and the split is by hashed bucket (narrow). ``cap`` draws a sample of
     that size first, and ``exact_split`` makes the test side exactly ceil(fraction * n) rows.
-    ``replicates`` is how many units the forests resample of each feature combination.
+    ``replicates`` is how many units the forests resample of each feature combination. With ``bootstrap`` "rows" every
+    tree resamples the rows themselves instead; that takes 110 small fits in place of five.
     """
+    if bootstrap not in ("replicates", "rows"):
+        raise ValueError(f"no bootstrap of {bootstrap}")
     rows = training_rows(observations)
     if cap is not None:
         scratch_base(observations.sparkSession)
         rows = sample_exact(rows, cap).checkpoint()  # every later pass would search for its cut again
     flagged = split_exact(rows, fraction=fraction) if exact_split else split_bucket(rows, fraction=fraction)
-    model = fit_forests(training_cells(flagged.where(~F.col("is_test")), replicates))
+    training = flagged.where(~F.col("is_test"))
+    if bootstrap == "rows":
+        model = fit_bootstrapped(bootstrap_cells(training, max(CLASSIFIER_TREES, REGRESSOR_TREES)))
+    else:
+        model = fit_forests(training_cells(training, replicates))
     return Trained(model, prediction_grid(observations.sparkSession, model), flagged.where("is_test").drop("is_test"))
 
 

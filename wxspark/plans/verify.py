@@ -7,6 +7,7 @@ broadcast bound; it is stateless, so a stream needs no watermark.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from wxspark.functions.calendar import calendar_parts, hour_key, season, to_hour
 from wxspark.functions.rules import alert, deviation, verdict
 from wxspark.operators.joins import BROADCAST_ROWS
 from wxspark.sources.payloads import lookup_truth
-from wxspark.sources.requests import parse_requests, validate_requests
+from wxspark.sources.requests import default_requests, parse_requests, validate_requests
 
 Predictor = Callable[[DataFrame], DataFrame]
 
@@ -36,12 +37,19 @@ def verify(
     truth: DataFrame,
     key: str = "id",
     broadcast_rows: int = BROADCAST_ROWS,
+    also: tuple[str, ...] = (),
+    now: datetime | None = None,
 ) -> DataFrame:
-    """Request bodies (id, body) to results; a rejected request keeps its ``error`` and null results."""
-    checked = validate_requests(parse_requests(bodies))
+    """Request bodies (id, body) to results; a rejected request keeps its ``error`` and null results.
+
+    ``also`` names columns of the predictor's that results carry behind their own. With ``now`` absent dates and cities
+    are filled in as an untouched form has them at that time.
+    """
+    asked = parse_requests(bodies)
+    checked = validate_requests(asked if now is None else default_requests(asked, now))
     timed = with_request_time(checked)
     predicted = predict(timed)
-    return judge(lookup_truth(predicted, truth, key, broadcast_rows)).select(*RESULT)
+    return judge(lookup_truth(predicted, truth, key, broadcast_rows)).select(*RESULT, *also)
 
 
 def with_request_time(checked: DataFrame) -> DataFrame:

@@ -49,14 +49,25 @@ PAYLOAD_FILE = T.StructType(
     ]
 )
 
-# Hours of payload documents, stored by day.
-HOURS = T.StructType(
+# Merged ground truth: of each city and hour the row that counts, with its rank among all that landed.
+TRUTH_ROW = T.StructType(
     [
         T.StructField("city", T.StringType()),
-        T.StructField("issued", T.DateType()),
-        T.StructField("pos", T.IntegerType()),
-        T.StructField("time", T.StringType()),
+        T.StructField("hour_at", T.TimestampNTZType()),
+        T.StructField("rank", T.DecimalType(38, 0)),
     ]
     + [T.StructField(name, T.DoubleType()) for name in HOURLY_VALUES]
-    + [T.StructField("day", T.DateType())]
+)
+TRUTH_DAY = T.StructType([T.StructField("day", T.DateType()), T.StructField("version", T.IntegerType())])
+
+# Requests that wait for their hour: what they ask, and how many times.
+WAITING = T.StructType(
+    [
+        T.StructField("ticket", T.StringType()),
+        T.StructField("body", T.StringType()),
+        T.StructField("copies", T.LongType()),
+        T.StructField("city", T.StringType()),
+        T.StructField("hour_at", T.TimestampNTZType()),
+        T.StructField("asked_at", T.TimestampType()),
+    ]
 )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxspark.constants import BAD_CITY, BAD_DATE, DEFAULT_CITY
@@ -29,6 +29,33 @@ def parse_requests(bodies: DataFrame, body: str = "body") -> DataFrame:
     return parsed.where(F.col("date").isNull() | (F.col("date") != ""))
 
 
+def read_bodies(reader, path: str) -> DataFrame:
+    """body, file: the lines of landed files. ``reader`` is a session, or a stream's or a batch's reader."""
+    source = reader.read if isinstance(reader, SparkSession) else reader
+    return source.text(path).select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("file"))
+
+
+def _damage(body: Column) -> Column:
+    """Why a line is no request; null for one that is. The kind of a JSON value is the word that its type begins with."""
+    value = F.try_parse_json(body)
+    kind = F.schema_of_variant(value)
+    return (
+        F.when(F.trim(body) == "", "empty line")
+        .when(value.isNull(), "no JSON")
+        .when(~kind.startswith("OBJECT"), F.concat(F.lit("no JSON object but "), F.lower(F.split_part(kind, F.lit("<"), F.lit(1)))))
+    )
+
+
+def sound_bodies(lines: DataFrame) -> DataFrame:
+    """body: the lines that are JSON objects."""
+    return lines.where(_damage(F.col("body")).isNull()).select("body")
+
+
+def damaged_bodies(lines: DataFrame) -> DataFrame:
+    """body, file, reason of all other lines, so that every line is in one of the two."""
+    return lines.select("body", "file", _damage(F.col("body")).alias("reason")).where(F.col("reason").isNotNull())
+
+
 def default_requests(requests: DataFrame, now: datetime) -> DataFrame:
     """Fill absent fields as an untouched form does: the current hour and the first city."""
     this_hour = minute_text(to_hour(F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")))
@@ -40,10 +67,11 @@ def default_requests(requests: DataFrame, now: datetime) -> DataFrame:
     )
 
 
-# Patterns of a lower-case text and what they become, in this order: a zone after a clock is taken off, names of
-# months come to three letters, dates to year-month-day, clocks to hours and minutes. Month-first unless that
+# Patterns of a lower-case text and what they become, in this order: a weekday in front and a zone after a clock are
+# taken off, names of months come to three letters, dates to year-month-day, clocks to hours and minutes. Month-first unless that
 # cannot be a month.
 _WRITTEN = (
+    (r"^(?:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?:day)?\.?,? +", ""),
     (r"(:\d{2}(?:[.,]\d+)?|t\d{4}(?:\d{2})?) ?(?:z|utc|gmt|[+-]\d{2}:?\d{2})$", "$1"),
     (r"^([a-z]{3})[a-z]*\.? +(\d{1,2})(?:st|nd|rd|th)?,? +(\d{4})", "$2 $1 $3"),
     (r"^(\d{1,2})(?:st|nd|rd|th)? +([a-z]{3})[a-z]*\.?,? +(\d{4})", "$3-$2-$1"),
@@ -64,7 +92,8 @@ def parse_date(text: Column) -> Column:
     """Dates with or without a time, in the forms people write; else null.
 
     ISO with dashes, slashes, dots or compact; month-first, or day-first where the first number exceeds 12;
-    names of months; 12-hour clocks. A zone at the end is taken off: what counts is the wall clock.
+    names of months; 12-hour clocks. A zone at the end is taken off: what counts is the wall clock. So is the name of a
+    weekday in front, whether or not it is that of the date.
     """
     plain = F.lower(F.trim(text))
     for pattern, form in _WRITTEN:

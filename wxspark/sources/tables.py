@@ -6,22 +6,48 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wxspark.constants import ATTRIBUTES
 from wxspark.operators.units import header, rename_units
 from wxspark.schemas import OBSERVATION
 
 # The default format keeps milliseconds only.
-_CSV = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+CSV_OPTIONS = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+_RECORD = "_corrupt_record"
 
 
 def write_observations_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**_CSV).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_observations_csv(spark: SparkSession, path: str) -> DataFrame:
     """A value that does not fit its column fails the job; it would be read as null otherwise."""
-    return spark.read.schema(OBSERVATION).options(mode="FAILFAST", **_CSV).csv(path)
+    return spark.read.schema(OBSERVATION).options(mode="FAILFAST", **CSV_OPTIONS).csv(path)
+
+
+def split_observations_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Observations and, beside them, the lines that are none: record, file and the reason. Each line but the headers is
+    in one of the two.
+
+    A line is an observation if it has a value of the right type for every column, and no more.
+    """
+    with_record = StructType([*OBSERVATION.fields, StructField(_RECORD, StringType())])
+    lines = spark.read.schema(with_record).options(columnNameOfCorruptRecord=_RECORD, mode="PERMISSIVE", **CSV_OPTIONS).csv(path)
+    columns = [F.col(c) for c in OBSERVATION.fieldNames()]
+    whole = reduce(lambda a, b: a & b, [c.isNotNull() for c in columns]) & F.col(_RECORD).isNull()
+    bad = lines.where(~whole).select(*columns, _RECORD, F.col("_metadata.file_path").alias("file"))
+    fields = F.split(_RECORD, ",")
+    wanted = len(OBSERVATION)
+    reason = F.when(F.col(_RECORD).isNotNull() & (F.size(fields) != wanted), F.concat(F.size(fields), F.lit(f" of {wanted} fields")))
+    for i, field in enumerate(OBSERVATION.fields):
+        raw, kind = F.trim(F.get(fields, i)), field.dataType.simpleString()
+        given = F.col(_RECORD).isNotNull() & (raw != "")
+        reason = reason.when(F.col(field.name).isNull() & given, F.concat(F.lit(f"{field.name} is no {kind}: "), raw))
+        reason = reason.when(F.col(field.name).isNull(), F.lit(f"{field.name} is missing"))
+    # A line that is short of values but parses has no corrupt record; its values say what it was.
+    values = F.concat_ws(",", *(F.coalesce(c.cast("string"), F.lit("")) for c in columns))
+    return lines.where(whole).drop(_RECORD), bad.select(F.coalesce(_RECORD, values).alias("record"), "file", reason.alias("reason"))
 
 
 def write_observations(df: DataFrame, path: str, scale: str) -> None:
@@ -38,9 +64,17 @@ def read_observations(spark: SparkSession, path: str, scale: str | None = None)
     return spark.read.parquet(path)
 
 
-def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Catalog table; external when a path is given."""
+def save_table(df: DataFrame, name: str, path: str | None = None, by: tuple[str, ...] = (), buckets: int | None = None) -> None:
+    """Catalog table; external when a path is given.
+
+    With ``by`` its rows are in buckets by those columns and sorted by them in each, so that joins and aggregates on them
+    need no shuffle of the table. By default there are as many buckets as shuffles have partitions; rows are dealt to them
+    first, so each bucket is one file.
+    """
     writer = df.write.format("parquet")
+    if by:
+        buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        writer = df.repartition(buckets, *by).write.format("parquet").bucketBy(buckets, *by).sortBy(*by)
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from wxspark.plans.verify import Predictor, result_json, verify
+from wxspark.plans.verify import Predictor, verify
 
 
 def verify_stream(
@@ -36,22 +36,20 @@ def verify_stream_refreshed(
     read_truth,
     path: str,
     checkpoint: str,
-    responses: bool = False,
     **trigger,
 ) -> StreamingQuery:
     """The same for ground truth that changes: ``read_truth`` gives it, and its size is checked, for every micro-batch.
 
-    A batch that is retried after a failure overwrites its own folder ``batch_id=<n>``. With ``responses``, results
-    go to ``results`` under the path, and the responses with their ids to ``responses``.
+    A batch that is retried after a failure overwrites its own folder ``batch_id=<n>``.
     """
-    folder = f"{path}/results" if responses else path
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         results = verify(batch, predict, read_truth(batch))
-        results.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
-        if responses:
-            stored = batch.sparkSession.read.schema(results.schema).parquet(f"{folder}/batch_id={batch_id}")
-            result_json(stored).write.mode("overwrite").json(f"{path}/responses/batch_id={batch_id}")
+        results.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
+    return for_each_batch(bodies, write_batch, checkpoint, **trigger)
+
+
+def for_each_batch(bodies: DataFrame, write_batch, checkpoint: str, **trigger) -> StreamingQuery:
     writer = bodies.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
