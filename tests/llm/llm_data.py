@@ -8,6 +8,8 @@ SCHEMA = (
     "score double, node string, key string, words string, label int, band long, order long, tie long, size int, p string"
 )
 LONG = "word " * 40_000 + "Last line here."
+#: Single lines that patterns could stumble over: rules, capitals with one small letter behind, no blanks at all.
+LINES = ["-" * 100_000, "A" * 100_000 + "b", "x" * 100_000, "|" * 100_000 + ".", " | " * 30_000, "A " * 50_000, "." * 100_000 + " " * 1_000 + "x", "½²Ⅷ " * 20_000]
 
 
 def row(doc_id, text, lang="en"):
@@ -21,6 +23,7 @@ def awkward(spark):
         row(6, "One small text of words."), row(7, "Eins zwei drei vier fünf.", None), row(None, "No id at all here."),
         row(None, None, None), row(8, "One small text of words."), row(9, "É́ ÀB \x00 👩‍👧 don't"),
     ]
+    rows += [row(100 + k, line) for k, line in enumerate(LINES)]
     return spark.createDataFrame(rows, SCHEMA)
 
 

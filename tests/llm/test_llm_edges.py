@@ -14,12 +14,14 @@ from wxspark.llm import (
     licences,
     line_rules,
     near_duplicates,
+    piece_bpe,
     quality,
     token_records,
     toxicity,
 )
 
 BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -37,6 +39,7 @@ OPERATORS = {
     "benchmark": lambda s, d: decontaminate.contamination_table(d, items(s)),
     "rules": lambda s, d: line_rules.rule_table(d),
     "bpe": lambda s, d: byte_bpe.digest_table(d, BPE, public_tokenizers.PATTERN),
+    "pieces": lambda s, d: piece_bpe.digest_table(d, PIECES),
     "near": lambda s, d: near_duplicates.grouped(d),
     "licences": lambda s, d: licences.licence_table(d),
     "language": lambda s, d: language.language_table(d, language.learn(language.learnable(d))),

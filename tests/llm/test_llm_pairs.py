@@ -5,12 +5,13 @@ from __future__ import annotations
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from compare import connect, differences
-from llm_data import SCHEMA, row
+from llm_data import LINES, SCHEMA, row
 
-from wxspark.llm import decontaminate, near_duplicates, queries
+from wxspark.llm import decontaminate, line_rules, near_duplicates, queries
 from wxspark.llm.common import table
 
 
@@ -142,3 +143,16 @@ def test_native_plans(spark, sf_dir):
     for name in ("op4_decontamination", "op5_line_rules"):
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan)
+
+
+def test_rules_on_odd_lines(spark, tmp_path):
+    """Rules, menus, capitals and symbols, alone and mixed, against the SQL; very long lines in reasonable time."""
+    rng = random.Random(3)
+    marks = ["-", "---", "|", " | ", "»", "•", ">", "A", "AB", "Ab", "word", "WORD", "É", "é", "!!", "D!!", ".", " ", "  ", "#", "1", "»Ok", "log in", "Sign in", "\t"]
+    lines = ["".join(rng.choice(marks) for _ in range(rng.randrange(1, 12))) for _ in range(3_000)]
+    rows = [row(i, "\n".join(lines[i : i + 6])) for i in range(0, 3_000, 6)] + [row(9_000 + k, t) for k, t in enumerate(LINES)]
+    docs = spark.createDataFrame(rows, SCHEMA).select("doc_id", "text")
+    docs.write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/d/*.parquet')")
+    assert differences(line_rules.rule_table(spark.read.parquet(str(tmp_path / "d"))), queries.ORACLES["op5_line_rules"], con) is None

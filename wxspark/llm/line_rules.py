@@ -5,7 +5,7 @@ of letters, shouting, one word over and over, boilerplate phrases in short lines
 punctuation. Failing lines are removed; a document that loses more than MOST_LOST of its words with them is
 rejected, as is one that fails the base rules on words and repeats.
 
-Null texts have no words, fail the base rules and are not kept; so are empty ones. Repeated rows are judged one
+Lines and texts of any length are judged whole, in time proportional to them. Null texts have no words, fail the base rules and are not kept; so are empty ones. Repeated rows are judged one
 by one; other columns are not looked at. An empty table gives an empty result.
 """
 
@@ -21,12 +21,15 @@ SYMBOL = r"[#*$%&|<>]"
 #: Base rules.
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: Line rules, as patterns of failing lines. A bar with blanks about it divides entries of a menu.
-NAVIGATION = r"( [|»›·] .*){2,}|^\s*([|»›·•>-]\s*)+$"
-SHOUTING = r"^\P{Ll}*\p{Lu}\P{Ll}*\p{Lu}\P{Ll}*$"
+#: None of the patterns repeats a group or tries a line more than once from each place, so that a line of any length
+#: takes time in proportion to it.
+NAVIGATION = r" [|»›·] .* [|»›·] |^[\s|»›·•>-]+$"
+SMALL_LETTER, TWO_CAPITALS = r"\p{Ll}", r"\p{Lu}\P{Lu}*\p{Lu}"
 SHOUTED = r"\p{Lu}!!"
 BOILERPLATE = (
-    r"(?i)\b(all rights reserved|terms of (use|service)|privacy policy|cookie policy|click here|sign in|log in|"
-    r"subscribe to|enable javascript|skip to (main )?content|powered by|back to top)\b"
+    r"(?i)(?<![0-9A-Za-z_])(all rights reserved|terms of (use|service)|privacy policy|cookie policy|click here|sign in|log in|"
+    r"subscribe to|enable javascript|skip to (main )?content|powered by|back to top)"
+    r"(?![0-9A-Za-z_])"
 )
 CLOSED = r"[.!?:;\"'”’)…。！？]\s*$"
 #: A line of at most so many words is short; symbols may be this share of a line's characters, percent.
@@ -40,28 +43,23 @@ def _words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, BLANK + "+"))
 
 
-def _n_words(line: Column) -> Column:
-    return F.size(_words(line))
-
-
-def _fails(line: Column) -> Column:
-    """Whether a line with words is to be removed."""
-    short = _n_words(line) <= SHORT
+def _fails(line: Column, words: Column) -> Column:
+    """Whether a line, whose words are given, is to be removed. What tells most lines apart soonest is asked first."""
+    short = F.size(words) <= SHORT
     symbols = F.char_length(line) - F.char_length(F.regexp_replace(line, SYMBOL, ""))
     return (
         line.rlike(NAVIGATION)
         | (100 * symbols > MOST_SYMBOLS * F.char_length(line))
-        | (line.rlike(SHOUTING) & ~short)
+        | (~line.rlike(SMALL_LETTER) & ~short & line.rlike(TWO_CAPITALS))
         | line.rlike(SHOUTED)
-        | _repeats(line)
+        | _repeats(words)
         | (short & line.rlike(BOILERPLATE))
         | (short & ~line.rlike(CLOSED))
     )
 
 
-def _repeats(line: Column) -> Column:
+def _repeats(words: Column) -> Column:
     """Few different words for the length of the line."""
-    words = _words(line)
     return (F.size(words) >= 10) & (3 * F.size(F.array_distinct(words)) < F.size(words))
 
 
@@ -108,12 +106,15 @@ def cleaned(docs: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
-        F.filter("lines", lambda line: ~_fails(line)).alias("good"),
+        F.filter(
+            F.transform("lines", lambda line: F.struct(line.alias("line"), _words(line).alias("words"))),
+            lambda x: ~_fails(x["line"], x["words"]),
+        ).alias("good"),
     )
     return (
         judged.withColumn(
             "n_words_lost",
-            F.col("n_words") - F.aggregate("good", F.lit(0).cast("long"), lambda total, line: total + _n_words(line)),
+            F.col("n_words") - F.aggregate("good", F.lit(0).cast("long"), lambda total, x: total + F.size(x["words"])),
         )
         .withColumn("n_lines_removed", F.col("n_lines") - F.size("good"))
         .withColumn(
@@ -121,7 +122,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
             (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")),
         )
         .withColumn("kept", ~F.col("base_failed") & (100 * F.col("n_words_lost") <= MOST_LOST * F.col("n_words")))
-        .withColumn("text", F.array_join("good", "\n"))
+        .withColumn("text", F.array_join(F.transform("good", lambda x: x["line"]), "\n"))
         .drop("good")
     )
 
