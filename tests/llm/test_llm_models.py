@@ -70,14 +70,43 @@ def test_toxicity_all_labels(spark):
     assert share(judged, F.col("toxic") == (F.col("label") == 1)) > 0.97
 
 
+def chain_of(texts, toxic):
+    found = [toxicity.buckets_of(t) for t in texts]
+    kept = np.unique([b for f, bad in zip(found, toxic) if bad for b in f])
+    x = np.array([[float(k in set(f)) for k in kept] for f in found])
+    y = toxicity.category_labels(x, toxic)
+    return toxicity.fit_chain(kept, x, y, [np.arange(len(kept))] * len(toxicity.CATEGORIES))
+
+
 def test_chain_uses_out_of_fold_predictions():
-    texts = ["you idiot and scum"] * 30 + ["a fine day with friends"] * 30 + ["what trash this is"] * 30
+    texts = ["zorg qwub and mirf"] * 30 + ["a fine day with friends"] * 30 + ["plok vunt this day"] * 30
     toxic = np.array([1.0] * 30 + [0.0] * 30 + [1.0] * 30)
     order = np.random.default_rng(0).permutation(90)
-    chain = toxicity.fit_chain([texts[i] for i in order], toxic[order])
+    chain = chain_of([texts[i] for i in order], toxic[order])
     assert np.tril(np.ones_like(chain.links), -1)[chain.links != 0].all()  # only earlier categories
-    p = toxicity.score(["you idiot and scum", "a fine day with friends", "", None], chain)
+    p = toxicity.score(["zorg qwub and mirf", "a fine day with friends", "", None], chain)
     assert p[0, -1] > 0.9 and (p[1:, -1] < 0.5).all()
+    assert p[0, :2].max() > 0.8 and p[0, :2].min() < 0.5  # of one of the two groups, and not of the other
+
+
+def test_categories_are_found_in_the_data():
+    """Two families of words that do not occur together, a rarer third, and toxic texts of none."""
+    x = np.zeros((100, 6))
+    x[:40, :2], x[40:70, 2:4], x[70:75, 4] = 1, 1, 1
+    x[90:, 5] = 1  # only harmless texts have it
+    toxic = np.r_[np.ones(85), np.zeros(15)]
+    assert [g.tolist() for g in toxicity.grouped_features(x[toxic == 1])] == [[0, 1], [2, 3], [4]]
+    y = toxicity.category_labels(x, toxic)
+    assert y.sum(axis=0).tolist() == [40, 30, 5, 10, 85]
+
+
+def test_toxicity_learns_from_whole_texts(spark):
+    """What tells them apart stands at the end of long texts."""
+    rows = [(i, "plain words " * 4_000 + ("vunt plok" if i % 2 else "good day")) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    judged = toxicity.toxicity_table(docs, toxicity.learn(docs, labels)).collect()
+    assert {(r.doc_id % 2 == 1) == r.toxic for r in judged} == {True}
 
 
 def test_licences_against_search(spark, sf_dir):
@@ -119,13 +148,17 @@ def test_licence_templates(text, labels):
 def test_licence_mandatory_phrases_alone():
     """Whatever the frequencies: the phrase word for word gives the label, the rest of the notice is not needed."""
     known = sorted(licences.vocabulary())
-    outside = {w: 10 for w in known} | {w: 9_000 for _, _, p in licences.TEMPLATES for w in p.encode().split()}
+    outside = {w: 10 for w in known} | {w: 9_000 for _, _, p in licences.TEMPLATES for w in " ".join(p).encode().split()}
     tables = [{}, {w: 10_000 for w in known}, outside]
     rng = np.random.default_rng(2)
     tables += [dict(zip(known, map(int, rng.integers(0, 10_001, len(known))), strict=True)) for _ in range(20)]
     for frequencies in tables:
         index = licences.build_index(10_000, frequencies)
-        for label, _, phrase in licences.TEMPLATES:
+        for label, notice, phrases in licences.TEMPLATES:
+            if len(phrases) > 1:
+                assert label in licences.scan(notice.title(), index)[5].split(",")
+                continue
+            phrase = phrases[0]
             for text in (phrase, f"x {phrase.title()} y"):
                 *_, labels, score = licences.scan(text, index)
                 assert label in labels.split(",") and 0 < score <= 1
@@ -135,6 +168,57 @@ def test_licence_mandatory_phrases_alone():
             assert label not in set(labels.split(",")) - set(base_labels.split(","))
 
 
+def searched_labels(words):
+    """Labels by trying every place for every template."""
+
+    def at(phrase, place):
+        return words[max(0, place) : place + len(phrase)] == phrase if place >= 0 else False
+
+    found = set()
+    for label, notice, phrases in licences.TEMPLATES:
+        notice, parts = notice.split(), [p.split() for p in phrases]
+        places = [next(i for i in range(len(notice)) if notice[i : i + len(p)] == p) for p in parts]
+        for i in range(len(words)):
+            if at(parts[0], i):
+                offsets = [i + p - places[0] for p in places[1:]]
+                if all(any(at(p, o + d) for d in range(-licences.SLACK, licences.SLACK + 1)) for p, o in zip(parts[1:], offsets)):
+                    found.add(label)
+    return found | {label for phrase, label in licences.BASE_PHRASES.items() if any(at(phrase.split(), i) for i in range(len(words)))}
+
+
+def test_licence_labels_against_search(spark, sf_dir):
+    """Notices with words left out, put in or changed, one after another, and the documents."""
+    rng = np.random.default_rng(8)
+    texts = [r.text or "" for r in table(spark, sf_dir, "documents").select("text").collect()][:150]
+    for _ in range(400):
+        words = []
+        for _ in range(rng.integers(1, 3)):
+            _, notice, _ = licences.TEMPLATES[rng.integers(len(licences.TEMPLATES))]
+            part = notice.split()
+            for _ in range(rng.integers(0, 4)):
+                k = int(rng.integers(len(part)))
+                part[k : k + int(rng.integers(0, 2))] = ["filled"] * int(rng.integers(0, 12))
+                part = part or ["x"]
+            words += part
+        texts.append(" ".join(words))
+    seen = set()
+    for frequencies in ({}, {w: 900 for w in licences.vocabulary()}):
+        index = licences.build_index(1_000, frequencies)
+        for text in texts:
+            small = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+            want = searched_labels(re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", small))
+            assert licences.scan(text, index)[5] == ",".join(sorted(want))
+            seen |= want
+    assert seen == {label for label, _, _ in licences.TEMPLATES}
+
+
+@pytest.mark.parametrize(("clauses", "label", "other"), [(2, "bsd-2-clause", "bsd-3-clause"), (3, "bsd-3-clause", "bsd-2-clause")])
+def test_bsd_clauses(clauses, label, other):
+    text = licences._BSD + (licences._BSD_NO_ENDORSEMENT if clauses == 3 else "") + licences._BSD_DISCLAIMER
+    labels = licences.scan("Copyright (c) 1999, Someone\n" + text, licences.build_index(10, {}))[5].split(",")
+    assert "bsd" in labels and label in labels and other not in labels
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     return chat.learn(table(spark, SF, "conversations"))

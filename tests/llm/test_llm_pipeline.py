@@ -30,7 +30,7 @@ def test_stages(spark):
     assert ids(inputs["language"]) == ids(judged.where("not toxic"))
     d = inputs["language"]
     assert ids(inputs["near_duplicates"]) == ids(language.language_table(d, language.learn(language.learnable(d))).where("not rejected"))
-    assert ids(inputs["decontamination"]) == ids(near_duplicates.grouped(inputs["near_duplicates"]).where("kept"))
+    assert ids(inputs["decontamination"]) == ids(near_duplicates.grouped(inputs["near_duplicates"], corpus_pipeline.NEAR).where("kept"))
     marked = decontaminate.contamination_table(inputs["decontamination"], table(spark, SF, "benchmark"))
     assert ids(inputs["byte_bpe"]) == ids(marked.where("not contaminated"))
     assert all(f.columns == table(spark, SF, "documents").columns for f in inputs.values())

@@ -5,7 +5,8 @@ its own slot in a table with no empty ones, one seed per group of entries keeps
 compares one entry. Any other pre-token is merged: its bytes form a linked list, a heap yields the lowest-ranked
 neighbours, leftmost first, and stale heap entries are passed over.
 
-Null texts are encoded as empty: no ids, and the digests of nothing. Rows that repeat are encoded one by one;
+Null texts are encoded as empty: no ids, and the digests of nothing. Very long texts are encoded whole; very long pieces
+are not remembered. Rows that repeat are encoded one by one;
 other columns are not looked at. An empty table gives an empty result.
 """
 

@@ -67,37 +67,42 @@ def ascii_lower(text: Column) -> Column:
 MAX_LABELS = 500
 
 
-def training_sample(rows: DataFrame, label: str, per_label: int, piece: int) -> list[tuple]:
-    """(label, text) pairs of a bounded sample: about ``per_label`` rows of each label, and of each text one
-    excerpt of at most ``piece`` characters. More than MAX_LABELS labels are an error; none is left out.
+def sampled(rows: DataFrame, label: str, per_label: int) -> DataFrame:
+    """label, order and the whole text of a bounded sample: at most ``per_label`` rows of each label, stored. More than
+    MAX_LABELS labels are an error; none is left out.
 
     Only models are fitted on it. ``rows`` has doc_id, text and ``label``. The choice is by a hash of
-    doc_id, so it does not depend on partitions; rows that repeat an id count once. Excerpts begin at a
-    hashed place, so that they are not all beginnings. The result is in the order of that hash.
+    doc_id, so it does not depend on partitions; rows that repeat an id count once.
     """
     rows = rows.where(F.col(label).isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    spark, kind = rows.sparkSession, rows.schema[label].dataType.simpleString()
     counts = rows.groupBy(label).count().limit(MAX_LABELS + 1).collect()
-    if not counts:
-        return []
     if len(counts) > MAX_LABELS:
         raise ValueError(f"more than {MAX_LABELS} different values of {label} to learn from")
     hashed = F.xxhash64(F.lit("sample"), "doc_id")
-    shares = [(value, min(1.0, 1.3 * (per_label + 10) / count)) for value, count in counts]
-    kind = rows.schema[label].dataType.simpleString()
-    shares = rows.sparkSession.createDataFrame(shares, f"{label} {kind}, share double")
+    shares = spark.createDataFrame([(v, min(1.0, 1.3 * (per_label + 10) / n)) for v, n in counts], f"{label} {kind}, share double")
     unit = F.shiftrightunsigned(hashed, 11) / F.lit(float(1 << 53))
-    start = 1 + F.pmod(hashed, F.greatest(F.char_length("text") - piece, F.lit(0)) + 1).cast("int")
     chosen = (
         rows.join(F.broadcast(shares), label)
         .where(unit < F.col("share"))
-        .select(F.col(label).alias("label"), hashed.alias("order"), F.substring("text", start, F.lit(piece)).alias("piece"))
+        .select(F.col(label).alias("label"), hashed.alias("order"), "text")
         .groupBy("label", "order")
-        .agg(F.min("piece").alias("piece"))
+        .agg(F.min("text").alias("text"))
     )
-    taken: dict[object, int] = {}
-    sample = []
-    for label_value, _, text in sorted(chosen.collect(), key=lambda r: (r[1], r[0])):
-        if taken.get(label_value, 0) < per_label:
-            taken[label_value] = taken.get(label_value, 0) + 1
-            sample.append((label_value, text))
-    return sample
+    chosen = stored(chosen, "sample")
+    orders: dict[object, list[int]] = {}
+    for value, order in chosen.select("label", "order").collect():  # about 1.3 * per_label numbers a label
+        orders.setdefault(value, []).append(order)
+    cuts = [(v, sorted(o)[:per_label][-1]) for v, o in orders.items()]
+    cuts = spark.createDataFrame(cuts, f"label {kind}, last long")
+    return chosen.join(F.broadcast(cuts), "label").where(F.col("order") <= F.col("last")).drop("last")
+
+
+def excerpts(sample: DataFrame, piece: int) -> list[tuple]:
+    """(label, excerpt) of a sample, in its order: what goes into dictionaries, which hold a fixed number of bytes.
+
+    Excerpts begin at a hashed place, so that they are not all beginnings.
+    """
+    start = 1 + F.pmod("order", F.greatest(F.char_length("text") - piece, F.lit(0)) + 1).cast("int")
+    rows = sample.select("label", "order", F.substring("text", start, F.lit(piece)).alias("piece")).collect()
+    return [(r.label, r.piece) for r in sorted(rows, key=lambda r: (r.order, str(r.label)))]

@@ -10,7 +10,7 @@ Documents are read and cut once; the places of item shingles are written to the
 about them, so that counting, prefix join and comparison read a small table. What is broadcast is a block of at
 most BLOCK shingles of the items; more shingles make more blocks, each one more scan.
 
-Null texts have no words. Each row is judged on its own: rows that repeat an id and a text give equal rows, null
+Null texts have no words. Very long texts are searched whole. Each row is judged on its own: rows that repeat an id and a text give equal rows, null
 ids are kept. Items without words or text occur nowhere; a null item id is not counted as an item. Equal item
 ids count once. Other columns are not looked at. An empty table gives an empty result.
 """

@@ -6,13 +6,15 @@ small-lettered and with everything but letters read as spaces, is compressed wit
 rejected when the runner-up comes too near.
 
 Null or letterless texts are ``und``, score 0 and rejected. Ties go to the language that is more frequent where it is learned, then to the first name. Without a
-single text to learn from every text is ``und``. Rows that repeat are predicted one by one, other columns of
+single text to learn from every text is ``und``. An empty table gives an empty result; very long texts are compressed whole,
+block by block. Rows that repeat are predicted one by one, other columns of
 the input pass through or are not looked at.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from typing import NamedTuple
 
 import numpy as np
@@ -20,15 +22,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wxspark.llm.common import bounded_batches, id_remainder, training_sample
+from wxspark.llm.common import bounded_batches, excerpts, id_remainder, sampled
 from wxspark.llm.compression import raw_dictionary, sizes
 
-#: Parameters: texts per language to learn from, their length, and dictionary bytes.
+#: Parameters: texts per language that a dictionary is cut from, characters cut from each, and dictionary bytes.
 TEXTS, PIECE, DICTIONARY_BYTES = 90, 3_000, 110_000
 #: A prediction is rejected when the runner-up takes less than this share of bytes more.
 MARGIN = 0.01
 UNKNOWN = "und"
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+
+
+def _not_letters() -> re.Pattern:
+    """Runs of characters that are of no letter category. Word characters of ``re`` are letters and numeric
+    characters, of which fractions, Roman numerals and the like are no digits to it."""
+    numeric = [c for c in range(sys.maxunicode + 1) if chr(c).isnumeric() and not chr(c).isalpha()]
+    ranges, start = [], 0
+    for k in range(1, len(numeric) + 1):
+        if k == len(numeric) or numeric[k] != numeric[k - 1] + 1:
+            ranges.append(f"\\U{numeric[start]:08x}-\\U{numeric[k - 1]:08x}")
+            start = k
+    return re.compile(f"[\\W\\d_{''.join(ranges)}]+")
+
+
+NOT_LETTERS = _not_letters()
 RESULT = "struct<lang: string, score: double, margin: double>"
 
 
@@ -40,7 +56,7 @@ class Languages(NamedTuple):
 def learn(docs: DataFrame, texts: int = TEXTS, piece: int = PIECE, size: int = DICTIONARY_BYTES) -> Languages:
     """Dictionaries from ``docs`` (doc_id, text, lang), at most ``texts`` excerpts of each language."""
     found: dict[str, list[str]] = {}
-    for name, text in training_sample(docs.select("doc_id", "text", "lang"), "lang", texts, piece):
+    for name, text in excerpts(sampled(docs.select("doc_id", "text", "lang"), "lang", texts), piece):
         found.setdefault(name, []).append(text)
     counts = docs.where(F.col("lang").isin(list(found))).groupBy("lang").count().collect() if found else []
     names = tuple(r[0] for r in sorted(counts, key=lambda r: (-r[1], r[0])))

@@ -21,7 +21,7 @@ spread more than independent ones. Simulated, 256,000 pairs a threshold, of unio
 or just above: the bands lost 0 at 0.85 and 2 at 0.8, and no estimate was more than 0.11 (0.12) below the threshold.
 So both together lost none of 256,000 at 0.85 and 2 at 0.8.
 
-Null, empty and blank texts have no shingles, are linked with nothing and stay. A text of fewer than SHINGLE
+Null, empty and blank texts have no shingles, are linked with nothing and stay. Very long texts are compared whole. A text of fewer than SHINGLE
 words is one shingle. Null ids are never the smallest of a group: one whose set another id has too gets that id's
 group and is not kept; a set that only null ids have is not compared, has a null group and stays. Rows that repeat
 an id are the same document and fare alike if their texts are equal; with different texts each is grouped by its

@@ -10,7 +10,7 @@ Documents are sorted by id with one range shuffle, each task writes its range, a
 the successful attempts report replaces any rename: what a lost attempt left is never read. Starts follow
 from sums per file, one number a file on the driver.
 
-Null texts are encoded as empty and get the end id alone. Null ids come first. Rows with equal ids are in the
+Null texts are encoded as empty and get the end id alone. Very long texts are one record each, encoded whole. Null ids come first. Rows with equal ids are in the
 order of a hash of their text; equal rows are written as often as they occur. An empty table gives no rows.
 Other columns are not looked at.
 """
