@@ -50,8 +50,10 @@ def test_language_learns_rare_ones_too(spark, monkeypatch):
 
 def test_language_rejects_letterless_and_narrow():
     model = language.Languages(("de", "en"), (b"der die das und nicht " * 200, b"the and of with from that " * 200))
-    names = [p[0] for p in language.predict(["the and of with from that the and", "12 34", None, "", "?"], model)]
-    assert names == ["en", "und", "und", "und", "und"]
+    names = [p[0] for p in language.predict(["the and of with from that the and", "12 34", None, "", "?", "½ ² Ⅷ", "½ the and of"], model)]
+    assert names == ["en", "und", "und", "und", "und", "und", "en"]
+    for text in ("a½b ² c Ⅷ", "½", "x_1 y", "日本 一二 ٣", "é-è"):
+        assert language._letters(text) == language.NOT_LETTERS.sub(" ", text.lower()).encode()
     assert language.predict(["zzqx"], model)[0][2] < language.MARGIN
 
 

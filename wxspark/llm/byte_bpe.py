@@ -31,6 +31,8 @@ from wxspark.llm.pieces import WHITE_SPACE, Memory
 
 #: Parameter of the perfect hash: vocabulary entries per seed.
 PER_SEED = 2
+#: Bytes of each of the two generations of pieces that a worker remembers; in a pipeline it remembers other things too.
+MEMORY_BYTES = 48 << 20
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: A blank and what follows it up to white space, or white space as the pre-token pattern divides it. The pattern
 #: matches nothing across these borders, so the pieces are looked up and pre-tokenized on their own.
@@ -99,7 +101,7 @@ class Codec:
         self.ranks = {token: rank for rank, token in enumerate(self.vocabulary)}
         self.pattern = regex.compile(pattern)
         self.digits = list(map(str, range(len(self.vocabulary))))
-        self.memory = Memory(lambda pieces: list(map(self._piece, pieces)))
+        self.memory = Memory(lambda pieces: list(map(self._piece, pieces)), MEMORY_BYTES)
 
     def merge(self, token: bytes) -> list[int]:
         """Ranks of the parts that merging the bytes of ``token`` leaves."""

@@ -65,9 +65,9 @@ def words_of(text: str | None) -> set[str]:
     return set(WORD.findall((text or "").lower()))
 
 
-def buckets_of(text: str | None) -> list[int]:
-    """The distinct features of a whole text."""
-    return sorted({b for w in words_of(text) for b in _buckets(w)})
+def buckets_of(text: str | None) -> np.ndarray:
+    """The distinct features of a whole text, in order; as numbers of four bytes, as long texts have many."""
+    return np.unique(np.fromiter((b for w in words_of(text) for b in _buckets(w)), dtype=np.int32))
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
@@ -201,10 +201,12 @@ def learn(docs: DataFrame, labels: DataFrame, texts: int = TEXTS) -> Chain:
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [buckets_of(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["label", "order", "buckets"]
-            )
+            for i in range(batch.num_rows):  # one text at a time, however long
+                found = buckets_of(batch.column(2)[i].as_py())
+                one = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), pa.array(found))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), one], ["label", "order", "buckets"]
+                )
 
     found = sample.select("label", "order", "text").mapInArrow(features, "label int, order long, buckets array<int>")
     found = stored(found, "features")
