@@ -9,7 +9,7 @@ import public_tokenizers
 import tiktoken
 from llm_data import SCHEMA, row
 
-from wxspark.llm import decontaminate, language, near_duplicates, toxicity
+from wxspark.llm import byte_bpe, common, compression, decontaminate, language, near_duplicates, toxicity
 from wxspark.llm.common import stored, table
 
 SF = "/root/testdata/sf0.01"
@@ -49,6 +49,21 @@ def test_run_applies_all(spark):
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
 
+def test_workers_remember_for_one_operator():
+    """The next operator's task gives back what the one before remembered, and results do not depend on it."""
+    path, text = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "two wise words, two wise words"
+    first = byte_bpe.codec(path, public_tokenizers.PATTERN).encode([text])
+    assert byte_bpe.codec(path, public_tokenizers.PATTERN).encode([text]) == first and byte_bpe._codecs
+    sizes = compression.sizes([text.encode()], (b"two wise men", b"three words"))
+    assert compression._made and not byte_bpe._codecs
+    common.at_work("near-duplicates", near_duplicates._hashes.clear)
+    shingles = near_duplicates.shingle_set(text).tolist()
+    assert near_duplicates._hashes and not compression._made
+    assert byte_bpe.codec(path, public_tokenizers.PATTERN).encode([text]) == first and not near_duplicates._hashes
+    assert (compression.sizes([text.encode()], (b"two wise men", b"three words")) == sizes).all()
+    assert near_duplicates.shingle_set(text).tolist() == shingles
+
+
 def test_near_duplicate_stage_links_from_80(spark):
     """Pairs at and just around 0.8, found by counting: the stage drops those from 0.8 on, op7 keeps them apart."""
 

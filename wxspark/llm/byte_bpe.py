@@ -26,12 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wxspark.llm.common import bounded_batches, id_lists
+from wxspark.llm.common import at_work, bounded_batches, id_lists
 from wxspark.llm.pieces import WHITE_SPACE, Memory
 
 #: Parameter of the perfect hash: vocabulary entries per seed.
 PER_SEED = 2
-#: Bytes of each of the two generations of pieces that a worker remembers; in a pipeline it remembers other things too.
+#: Bytes of each of the two generations of pieces that a worker remembers.
 MEMORY_BYTES = 48 << 20
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: A blank and what follows it up to white space, or white space as the pre-token pattern divides it. The pattern
@@ -156,6 +156,7 @@ _codecs: dict[tuple[str, str], Codec] = {}
 
 def codec(path: str, pattern: str, table: tuple[array, array] | None = None) -> Codec:
     """Made once per Python worker; ``table`` is the perfect hash's, built once on the driver."""
+    at_work("byte-level BPE", _codecs.clear)
     if (path, pattern) not in _codecs:
         _codecs[path, pattern] = Codec(path, pattern, table)
     return _codecs[path, pattern]

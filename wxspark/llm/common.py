@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +43,21 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+_at_work: list = []  # the operator whose task this Python worker had last, and what forgets its memory
+
+
+def at_work(operator: str, forget: Callable[[], None]) -> None:
+    """Say in a task, before it remembers anything, which operator it is of.
+
+    Spark keeps Python workers from stage to stage. What one remembers for an operator is given back when a task of
+    another operator comes, so the stages of a pipeline need the memory of the largest of them, not of all.
+    """
+    if _at_work and _at_work[0] != operator:
+        _at_work[1]()
+        pa.default_memory_pool().release_unused()
+    _at_work[:] = [operator, forget]
+
+
 def id_lists(rows: list[list[int]]) -> pa.ListArray:
     """Lists of ids as an Arrow column."""
     offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)

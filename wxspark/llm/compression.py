@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import zstandard
 
+from wxspark.llm.common import at_work
+
 #: A lazy match search down to four bytes sees short words, which the fast levels pass over; the tables are
 #: small because dictionaries and blocks are.
 PARAMETERS = zstandard.ZstdCompressionParameters(
@@ -39,6 +41,7 @@ def raw_dictionary(texts: list[bytes], size: int) -> bytes:
 
 def _compressors(dictionaries: tuple[bytes, ...]) -> list[zstandard.ZstdCompressor]:
     """Made once per Python worker and model."""
+    at_work("compression", _made.clear)
     if dictionaries not in _made:
         if len(_made) >= 4:
             _made.clear()

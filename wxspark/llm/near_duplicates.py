@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wxspark.llm.common import bounded_batches, few, stored
+from wxspark.llm.common import at_work, bounded_batches, few, stored
 
 SHINGLE = 5
 #: 100 * intersection >= threshold * union; this one, if a caller names none.
@@ -157,6 +157,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, node (128-bit hash of the set, null for none), registers."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("near-duplicates", _hashes.clear)
         for batch in batches:
             counts, nodes, regs = [], [], []
             for text in batch.column(1).to_pylist():
@@ -271,6 +272,7 @@ def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """node, set: the full sets of the nodes in ``wanted``."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("near-duplicates", _hashes.clear)
         for batch in batches:
             found = [shingle_set(t).tobytes() for t in batch.column(0).to_pylist()]
             nodes_of = [xxhash.xxh3_128_digest(f) for f in found]

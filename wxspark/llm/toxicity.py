@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wxspark.llm.common import bounded_batches, sampled, stored
+from wxspark.llm.common import at_work, bounded_batches, sampled, stored
 
 #: Categories that are found in the data.
 GROUPS = 3
@@ -275,6 +275,7 @@ def judged(text: Column, chain: Chain) -> Column:
 
     @F.arrow_udf(RESULT)
     def toxicity(values: pa.Array) -> pa.Array:
+        at_work("toxicity", _memo.clear)
         p = score(values.to_pylist(), sent.value)
         columns = [pa.array(p[:, -1] >= THRESHOLD), pa.array(p[:, -1])]
         columns += [pa.array(p[:, c]) for c in range(len(CATEGORIES) - 1)]
